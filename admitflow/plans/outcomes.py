@@ -11,19 +11,40 @@ FUNNEL_ORDER = ["calendar_date", "channel_code", "application_type"]
 DURATION_ORDER = ["channel_code", "application_type"]
 
 
-def _status(value: str) -> Column:
-    return F.col("application_status") == value
+FUNNEL_COUNTS = {
+    "applications_started": "true",
+    "applications_submitted": "submitted_at IS NOT NULL",
+    "applications_approved": "application_status = 'APPROVED'",
+    "applications_rejected": "application_status = 'REJECTED'",
+    "applications_abandoned": "application_status = 'ABANDONED'",
+}
 
+_SUMS = {
+    "n_applications": "count(*)",
+    "submit_seconds": "sum(seconds_to_submit)",
+    "submit_n": "count(seconds_to_submit)",
+    # Decided applications only: others would mix in the time until they were abandoned.
+    "decision_seconds": "sum(CASE WHEN decision IS NOT NULL THEN seconds_to_complete END)",
+    "decision_n": "count(CASE WHEN decision IS NOT NULL THEN seconds_to_complete END)",
+    "failures": "sum(failure_event_count)",
+    "sessions": "sum(session_count)",
+    "abandoned": "count_if(application_status = 'ABANDONED')",
+}
 
-FUNNEL_COUNTS = {
-    "applications_started": F.lit(True),
-    "applications_submitted": F.col("submitted_at").isNotNull(),
-    "applications_approved": _status("APPROVED"),
-    "applications_rejected": _status("REJECTED"),
-    "applications_abandoned": _status("ABANDONED"),
+# A mean over several cells of the cube: total by count, NULL without any value.
+_MEANS = {
+    "avg_minutes_to_submit": "try_divide(double(sum(submit_seconds)), double(sum(submit_n))) / 60D",
+    "avg_minutes_to_decision": "try_divide(double(sum(decision_seconds)), double(sum(decision_n))) / 60D",
+    "avg_failure_events": "double(sum(failures)) / double(sum(n_applications))",
+    "avg_sessions": "double(sum(sessions)) / double(sum(n_applications))",
+    "abandonment_rate": "double(sum(abandoned)) / double(sum(n_applications))",
 }
 
 
+def _aggregates(sql: dict[str, str]) -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in sql.items()]
+
+
 def sorted_by(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
 
@@ -41,25 +62,11 @@ def outcome_cube(snapshot: DataFrame, dim_application: DataFrame) -> DataFrame:
     Needs a snapshot with one row per application, which the marts gate has established. One pass over the snapshot,
     one large join, and a result whose size depends on days, channels and types only.
     """
-    submit, complete = F.col("seconds_to_submit"), F.col("seconds_to_complete")
-    decided = F.when(F.col("decision").isNotNull(), complete)
+    flags = {name: f"count_if({flag} AND application_id IS NOT NULL)" for name, flag in FUNNEL_COUNTS.items()}
     return (
         _classified(snapshot, dim_application)
         .groupBy("started_date_key", "channel_key", "application_type")
-        .agg(
-            *[
-                F.count_if(flag & F.col("application_id").isNotNull()).alias(name)
-                for name, flag in FUNNEL_COUNTS.items()
-            ],
-            F.count("*").alias("n_applications"),
-            F.sum(submit).alias("submit_seconds"),
-            F.count(submit).alias("submit_n"),
-            F.sum(decided).alias("decision_seconds"),
-            F.count(decided).alias("decision_n"),
-            F.sum("failure_event_count").alias("failures"),
-            F.sum("session_count").alias("sessions"),
-            F.count_if(_status("ABANDONED")).alias("abandoned"),
-        )
+        .agg(*_aggregates(flags | _SUMS))
     )
 
 
@@ -74,22 +81,10 @@ def funnel_from_cube(cube: DataFrame, dim_date: DataFrame, dim_channel: DataFram
 
 
 def durations_from_cube(cube: DataFrame, dim_channel: DataFrame) -> DataFrame:
-    n = F.sum("n_applications")
-
-    def mean(total: str, count: Column) -> Column:
-        return F.try_divide(F.sum(total).cast("double"), count.cast("double"))
-
     result = (
         cube.join(dim_channel, "channel_key")
         .groupBy(*DURATION_ORDER)
-        .agg(
-            n.alias("n_applications"),
-            (mean("submit_seconds", F.sum("submit_n")) / F.lit(60.0)).alias("avg_minutes_to_submit"),
-            (mean("decision_seconds", F.sum("decision_n")) / F.lit(60.0)).alias("avg_minutes_to_decision"),
-            mean("failures", n).alias("avg_failure_events"),
-            mean("sessions", n).alias("avg_sessions"),
-            mean("abandoned", n).alias("abandonment_rate"),
-        )
+        .agg(F.sum("n_applications").alias("n_applications"), *_aggregates(_MEANS))
     )
     return sorted_by(result, DURATION_ORDER)
 
@@ -103,10 +98,10 @@ def funnel(snapshot: DataFrame, dim_application: DataFrame, dim_date: DataFrame,
     per_application = (
         _classified(snapshot, dim_application)
         .groupBy(*grain)
-        .agg(*[F.max(flag).alias(name) for name, flag in FUNNEL_COUNTS.items()])
+        .agg(*_aggregates({name: f"max({flag})" for name, flag in FUNNEL_COUNTS.items()}))
     )
-    named = F.col("application_id").isNotNull()
-    cells = per_application.groupBy(*grain[:3]).agg(*[F.count_if(F.col(c) & named).alias(c) for c in FUNNEL_COUNTS])
+    named = {name: f"count_if({name} AND application_id IS NOT NULL)" for name in FUNNEL_COUNTS}
+    cells = per_application.groupBy(*grain[:3]).agg(*_aggregates(named))
     return funnel_from_cube(cells, dim_date, dim_channel)
 
 
