@@ -15,9 +15,14 @@ def counted(df: DataFrame, counts: dict[str, str]) -> DataFrame:
     return one_row.selectExpr(f"stack({len(counts)}, {pairs}) AS (check_name, bad_count)")
 
 
+def row_counts(rules: dict[str, str]) -> dict[str, str]:
+    """Row-level rules, each the condition for a bad row, as aggregates."""
+    return {name: f"count_if({condition})" for name, condition in rules.items()}
+
+
 def failing_rows(df: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """All row-level rules of a table in one scan; a rule is the condition for a bad row."""
-    return counted(df, {name: f"count_if({condition})" for name, condition in rules.items()})
+    """All row-level rules of a table in one scan."""
+    return counted(df, row_counts(rules))
 
 
 def duplicate_groups(df: DataFrame, key: str, name: str) -> DataFrame:

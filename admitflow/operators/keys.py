@@ -4,22 +4,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admitflow import session
 
-# Rows one task may number on its own.
+# Rows one task may number on its own; more for tables that would need more than MAX_PIECES tasks.
 PIECE_ROWS = 1_000_000
 PIECE_ROWS_CONF = "spark.admitflow.keyPieceRows"
+MAX_PIECES = 10_000
 
 _POSITION_BITS = (1 << 33) - 1
 
 
-def piece_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(PIECE_ROWS_CONF, str(PIECE_ROWS)))
-
-
 def add_dense_key(df: DataFrame, key: str, by: str) -> DataFrame:
     """Put ``key`` = 1..N in front, in the order of the unique column ``by``.
 
@@ -27,7 +24,9 @@ def add_dense_key(df: DataFrame, key: str, by: str) -> DataFrame:
     its partition plus the sizes of the partitions before gives the same numbers without moving all rows to one task.
     """
     spark = df.sparkSession
-    pieces = math.ceil(df.count() / piece_rows(spark))
+    rows = df.count()
+    piece_rows = max(int(spark.conf.get(PIECE_ROWS_CONF, str(PIECE_ROWS))), math.ceil(rows / MAX_PIECES))
+    pieces = math.ceil(rows / piece_rows)
     if pieces <= 1:
         number = F.row_number().over(Window.orderBy(F.col(by).asc_nulls_last())).cast("bigint")
         return df.select(number.alias(key), *df.columns)
@@ -44,7 +43,7 @@ def add_dense_key(df: DataFrame, key: str, by: str) -> DataFrame:
         )
         .checkpoint()  # the borders come from a sample: both reads below need the same ones
     )
-    # One row per piece.
+    # One row per piece, MAX_PIECES at most.
     earlier = F.sum("n").over(Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
         placed.groupBy("__piece")

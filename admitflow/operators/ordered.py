@@ -65,7 +65,7 @@ def _in_pieces(split: Split, order: list[str], values: dict[str, str]) -> DataFr
         *[F.lag(source).over(spec).alias(f"__in_{name}") for name, source in values.items()],
     )
 
-    # One row per key and piece: at most pieces + hot keys rows.
+    # One row per key and piece: at most pieces + hot keys, both of which the split bounds.
     last = F.max(F.struct(*_rank(full_order), *[F.col(s).alias(f"__v_{n}") for n, s in values.items()]))
     ends = pieces.groupBy(key, _PIECE).agg(last.alias("__last"))
     before = F.lag("__last").over(Window.partitionBy(key).orderBy(_PIECE))

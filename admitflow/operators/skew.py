@@ -6,19 +6,16 @@ import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is worked on in pieces.
+# A key with more rows than this is worked on in pieces; for very large tables the limit grows with the table, so that
+# there are never more than MAX_PIECES pieces and hot keys.
 HOT_ROWS = 5_000_000
 HOT_ROWS_CONF = "spark.admitflow.hotKeyRows"
-# The sketch finds every key above roughly rows / 15,000, whatever the number of keys.
+MAX_PIECES = 10_000
+# A sketch of this size finds every key with more than about rows / 15,000 rows, whatever the number of keys.
 SKETCH_ITEMS = 20_000
-MAX_HOT_KEYS = 1_000
-
-
-def hot_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
 @dataclass(frozen=True)
@@ -53,16 +50,15 @@ def split(df: DataFrame, key: str) -> Split:
     """Separate the hot keys of ``df``.
 
     A table that has fewer rows than a hot key needs no closer look (for stored tables that count comes from the
-    Parquet footers). Otherwise one pass over the key column fills a frequent-item sketch of fixed size. At most
-    MAX_HOT_KEYS keys come back to the driver.
+    Parquet footers). Otherwise one pass over the key column fills a frequent-item sketch of fixed size; the keys
+    above the limit, MAX_PIECES at most by arithmetic, come back to the driver.
     """
-    limit = hot_rows(df.sparkSession)
-    if df.count() <= limit:
+    rows = df.count()
+    limit = max(int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS))), rows // MAX_PIECES)
+    if rows <= limit:
         return Split(key, df)
-    frequent = F.expr(
-        f"filter(approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS}), item -> item.count > {limit}L)"
-    )
-    found = df.agg(frequent.alias("items")).first()["items"]
+    frequent = f"filter(approx_top_k(`{key}`, {MAX_PIECES}, {SKETCH_ITEMS}), item -> item.count > {limit}L)"
+    found = df.agg(F.expr(frequent).alias("items")).first()["items"]
     if not found:
         return Split(key, df)
     keys = tuple(entry["item"] for entry in found)

@@ -17,7 +17,7 @@ FUNNEL_OUTPUT = "onboarding_funnel_by_date_channel.parquet"
 DURATION_OUTPUT = "onboarding_duration_and_failure_by_channel.parquet"
 
 # What the staging gate and the snapshot need from the event history.
-_STORED_HISTORY = [
+STORED_HISTORY = [
     "application_id",
     "event_count",
     "sequence_faults",
@@ -47,15 +47,15 @@ class Flow:
     def ingest_raw(self) -> dict[str, int]:
         """Copy the extracts as text; gives the rows per table."""
         raw = self.layer("raw")
-        for source, df in extracts.read_extracts(self.spark, self.source_dir).items():
-            raw.write(source, df)
+        raw.write_all(extracts.read_extracts(self.spark, self.source_dir))
         return {source: raw.count(source) for source in V.SOURCE_COLUMNS}
 
     def build_staging(self) -> None:
         raw, staged = self.layer("raw"), self.layer("staging")
-        for source, table in staging.STAGED_NAMES.items():
-            staged.write(table, staging.stage(raw.read(source), source))
-        staged.write("event_history", event_history(staged.read("stg_events")).select(*_STORED_HISTORY))
+        staged.write_all(
+            {table: staging.stage(raw.read(source), source) for source, table in staging.STAGED_NAMES.items()}
+        )
+        staged.write("event_history", event_history(staged.read("stg_events")).select(*STORED_HISTORY))
 
     def _staged(self) -> list[DataFrame]:
         return [self.layer("staging").read(table) for table in staging.STAGED_NAMES.values()]
@@ -67,14 +67,22 @@ class Flow:
         applicants, applications, events = self._staged()
         history = self.layer("staging").read("event_history")
         marts = self.layer("marts")
-        marts.write("dim_date", dimensions.calendar(events))
-        channel = marts.write("dim_channel", dimensions.conformed_channels(applicants, applications, events))
-        applicant = marts.write("dim_applicant", dimensions.applicants(applicants))
-        application = marts.write("dim_application", dimensions.applications(applications))
-        marts.write("fact_onboarding_events", facts.event_fact(events, application, channel))
-        marts.write(
-            "fact_application_snapshot",
-            facts.application_snapshot(applications, history, application, applicant, channel),
+        dims = marts.write_all(
+            {
+                "dim_date": dimensions.calendar(events),
+                "dim_channel": dimensions.conformed_channels(applicants, applications, events),
+                "dim_applicant": dimensions.applicants(applicants),
+                "dim_application": dimensions.applications(applications),
+            }
+        )
+        application, applicant, channel = dims["dim_application"], dims["dim_applicant"], dims["dim_channel"]
+        marts.write_all(
+            {
+                "fact_onboarding_events": facts.event_fact(events, application, channel),
+                "fact_application_snapshot": facts.application_snapshot(
+                    applications, history, application, applicant, channel
+                ),
+            }
         )
 
     def check_marts(self) -> None:

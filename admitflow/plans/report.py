@@ -93,25 +93,31 @@ def last_state_mismatches(applications: DataFrame, history: DataFrame) -> DataFr
     return joined.filter(f"__history_id IS NULL OR ({elsewhere} AND {settled})").drop("__history_id", "__ended")
 
 
+def volume_counts(
+    source: str, min_rows: dict[str, int] | None = None, min_days: int = V.MIN_EVENT_SPAN_DAYS
+) -> dict[str, str]:
+    """Row count and event span as aggregates: what is missing to the minimum."""
+    floor = V.MIN_ROWS if min_rows is None else min_rows
+    counts = {f"{source}.row_count.minimum": f"greatest({floor[source]} - count(*), 0)"}
+    if source == "onboarding_events":
+        # Without any readable time the span is unknown, which fails whatever the minimum.
+        at = "event_timestamp_read"
+        counts["onboarding_events.event_timestamp.span"] = (
+            f"CASE WHEN count({at}) = 0 THEN {max(min_days, 1)}"
+            f" ELSE greatest({min_days} - timestampdiff(DAY, min({at}), max({at})), 0) END"
+        )
+    return counts
+
+
 def volume_rules(
     extracts: Extracts, min_rows: dict[str, int] | None = None, min_days: int = V.MIN_EVENT_SPAN_DAYS
 ) -> DataFrame:
-    """Row counts and event span; bad_count is what is missing to the minimum."""
-    floor = V.MIN_ROWS if min_rows is None else min_rows
-    frames = [
-        counting.counted(
-            extracts.table(source), {f"{source}.row_count.minimum": f"greatest({floor[source]} - count(*), 0)"}
-        )
-        for source in V.SOURCE_COLUMNS
-    ]
-    # Without any readable time the span is unknown, which fails whatever the minimum.
-    at = "event_timestamp_read"
-    span = (
-        f"CASE WHEN count({at}) = 0 THEN {max(min_days, 1)}"
-        f" ELSE greatest({min_days} - timestampdiff(DAY, min({at}), max({at})), 0) END"
+    return counting.union(
+        [
+            counting.counted(extracts.table(source), volume_counts(source, min_rows, min_days))
+            for source in V.SOURCE_COLUMNS
+        ]
     )
-    frames.append(counting.counted(extracts.events, {"onboarding_events.event_timestamp.span": span}))
-    return counting.union(frames)
 
 
 REFERENCES = {
@@ -133,11 +139,12 @@ def report(
     """(check_name, status, bad_count) for all rules. Pass a stored ``history`` to fold the events only once."""
     if history is None:
         history = extracts.history()
-    frames = [volume_rules(extracts, min_rows, min_days)]
+    frames = []
     for source, key in V.PRIMARY_KEYS.items():
         table = extracts.table(source)
         frames.append(counting.duplicate_rows(table, key, f"{source}.{key}.unique"))
-        frames.append(counting.failing_rows(table, row_rules(source)))
+        rules = counting.row_counts(row_rules(source)) | volume_counts(source, min_rows, min_days)
+        frames.append(counting.counted(table, rules))
     for name, (child, key, parent) in REFERENCES.items():
         frames.append(counting.orphans(extracts.table(child), key, extracts.table(parent), key, name))
     frames.append(counting.failing_rows(history, HISTORY_RULES))

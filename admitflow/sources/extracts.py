@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from admitflow import vocabulary as V
 
@@ -21,28 +20,28 @@ def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
     return not lines.filter(quotes % 2 == 1).limit(1).isEmpty()
 
 
-def read_csv(
-    spark: SparkSession, path: str, columns: list[str], line_breaks_in_fields: bool | None = None
-) -> DataFrame:
-    """A CSV with header, every column as text, empty fields as NULL; a missing path raises.
+def read_csv(spark: SparkSession, path: str, line_breaks_in_fields: bool | None = None) -> DataFrame:
+    """A CSV as it is: columns as named by its header, all text, empty fields as NULL. A missing path raises.
 
-    Files are split over tasks unless fields hold line breaks, which only a reader of whole files gets right. Leave
-    ``line_breaks_in_fields`` open to have the files looked at.
+    Files are split over tasks unless fields hold line breaks, which only a reader of whole files gets right; such
+    sources should come as many files. Leave ``line_breaks_in_fields`` open to have the files looked at.
     """
     if line_breaks_in_fields is None:
         line_breaks_in_fields = has_line_breaks_in_fields(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)  # a header that differs from the columns raises
-        .option("mode", "FAILFAST")  # so does a record with too few or too many fields
+    reader = (
+        spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", line_breaks_in_fields)
         .option("maxCharsPerColumn", -1)
+    )
+    columns = reader.csv(path).schema  # reads one header, infers nothing
+    return (
+        reader.schema(columns)
+        .option("enforceSchema", False)  # a part file with another header raises
+        .option("mode", "FAILFAST")  # so does a record with too few or too many fields
         .csv(path)
     )
 
 
 def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {source: read_csv(spark, path, V.SOURCE_COLUMNS[source]) for source, path in extract_paths(folder).items()}
+    return {source: read_csv(spark, path) for source, path in extract_paths(folder).items()}

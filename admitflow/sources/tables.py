@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,6 +24,12 @@ class Layer:
         df.write.mode("overwrite").parquet(self.path(table))
         return self.read(table)
 
+    def write_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Store tables that do not depend on each other, as concurrent jobs, so that one fills the other's gaps."""
+        write = inheritable_thread_target(self.spark)(self.write)
+        with ThreadPoolExecutor(len(tables)) as pool:
+            return dict(zip(tables, pool.map(write, tables.keys(), tables.values())))
+
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 

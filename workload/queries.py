@@ -12,7 +12,7 @@ from admitflow import vocabulary as V
 from admitflow.functions import predicates as P
 from admitflow.functions import scalars as X
 from admitflow.operators import counting, ordered, skew
-from admitflow.plans import dimensions, facts, gates, outcomes, report
+from admitflow.plans import dimensions, facts, flow, gates, outcomes, report
 from admitflow.plans.history import event_history
 from admitflow.sources import extracts
 from admitflow.sources.tables import Layer, export
@@ -39,22 +39,22 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 @query
 def staging_applicants(s: StandIns) -> DataFrame:
-    return s.applicants()
+    return s.applicants
 
 
 @query
 def staging_typed(s: StandIns) -> DataFrame:
-    return s.applications()
+    return s.applications
 
 
 @query
 def staging_events(s: StandIns) -> DataFrame:
-    return s.events()
+    return s.events
 
 
 @query
 def lenient_parse(s: StandIns) -> DataFrame:
-    return s.extracts().events.select("event_id", "event_sequence_read", "event_timestamp_read")
+    return s.extracts.events.select("event_id", "event_sequence_read", "event_timestamp_read")
 
 
 @query
@@ -62,7 +62,7 @@ def csv_ingest(s: StandIns) -> DataFrame:
     path = session.scratch_path(s.spark, "extract")
     raw = s.raw()["onboarding_events"]
     raw.write.option("header", True).option("escape", '"').csv(path)
-    return extracts.read_csv(s.spark, path, V.SOURCE_COLUMNS["onboarding_events"])
+    return extracts.read_csv(s.spark, path)
 
 
 @query
@@ -82,70 +82,70 @@ def calendar_dim(s: StandIns) -> DataFrame:
 
 @query
 def channel_dim(s: StandIns) -> DataFrame:
-    return dimensions.conformed_channels(s.applicants(), s.applications(), s.events())
+    return dimensions.conformed_channels(s.applicants, s.applications, s.events)
 
 
 @query
 def applicant_dim(s: StandIns) -> DataFrame:
-    return dimensions.applicants(s.applicants())
+    return dimensions.applicants(s.applicants)
 
 
 @query
 def application_dim(s: StandIns) -> DataFrame:
-    return dimensions.applications(s.applications())
+    return dimensions.applications(s.applications)
 
 
 # --- facts ---
 
 
 def _event_fact(s: StandIns, events: DataFrame) -> DataFrame:
-    applications = dimensions.applications(s.applications())
-    channel = dimensions.conformed_channels(s.applicants(), s.applications(), events)
+    applications = dimensions.applications(s.applications)
+    channel = dimensions.conformed_channels(s.applicants, s.applications, events)
     return facts.event_fact(events, applications, channel)
 
 
 def _snapshot(s: StandIns, events: DataFrame, application: DataFrame, channel: DataFrame) -> DataFrame:
     return facts.application_snapshot(
-        s.applications(), event_history(events), application, dimensions.applicants(s.applicants()), channel
+        s.applications, event_history(events), application, dimensions.applicants(s.applicants), channel
     )
 
 
 @query
 def event_fact(s: StandIns) -> DataFrame:
-    return _event_fact(s, s.events())
+    return _event_fact(s, s.events)
 
 
 @query
 def event_fact_gap(s: StandIns) -> DataFrame:
     """Gaps in the driver's event stream; its users are no applications, so every lookup falls back to -1."""
-    return _event_fact(s, s.clicks())
+    return _event_fact(s, s.clicks)
 
 
 @query
 def application_snapshot(s: StandIns) -> DataFrame:
-    channel = dimensions.conformed_channels(s.applicants(), s.applications(), s.events())
-    return _snapshot(s, s.events(), dimensions.applications(s.applications()), channel)
+    channel = dimensions.conformed_channels(s.applicants, s.applications, s.events)
+    return _snapshot(s, s.events, dimensions.applications(s.applications), channel)
 
 
 @query
 def order_line_snapshot(s: StandIns) -> DataFrame:
     """Snapshot with order lines as events: some orders have none and must show zero, not NULL."""
-    channel = dimensions.conformed_channels(s.applicants(), s.applications(), s.lines())
-    return _snapshot(s, s.lines(), dimensions.applications(s.applications()), channel)
+    channel = dimensions.conformed_channels(s.applicants, s.applications, s.lines)
+    return _snapshot(s, s.lines, dimensions.applications(s.applications), channel)
 
 
 # --- outputs ---
 
 
 def _star(s: StandIns) -> tuple[DataFrame, DataFrame, DataFrame]:
-    channel = dimensions.conformed_channels(s.applicants(), s.applications(), s.events())
-    application = dimensions.applications(s.applications())
-    return _snapshot(s, s.events(), application, channel), application, channel
+    channel = dimensions.conformed_channels(s.applicants, s.applications, s.events)
+    application = dimensions.applications(s.applications)
+    return _snapshot(s, s.events, application, channel), application, channel
 
 
 def _funnel(s: StandIns) -> DataFrame:
     snapshot, application, channel = _star(s)
-    return outcomes.funnel(snapshot, application, dimensions.calendar(s.events()), channel)
+    return outcomes.funnel(snapshot, application, dimensions.calendar(s.events), channel)
 
 
 @query
@@ -158,7 +158,7 @@ def funnel_on_checked_grain(s: StandIns) -> DataFrame:
     """The cheaper form for a snapshot known to have one row per application."""
     snapshot, application, channel = _star(s)
     cube = outcomes.outcome_cube(snapshot, application)
-    return outcomes.funnel_from_cube(cube, dimensions.calendar(s.events()), channel)
+    return outcomes.funnel_from_cube(cube, dimensions.calendar(s.events), channel)
 
 
 @query
@@ -168,7 +168,7 @@ def duration_failure_by_channel(s: StandIns) -> DataFrame:
 
 @query
 def step_time(s: StandIns) -> DataFrame:
-    return outcomes.step_times(_event_fact(s, s.clicks()))
+    return outcomes.step_times(_event_fact(s, s.clicks))
 
 
 # --- order of events ---
@@ -178,13 +178,13 @@ def step_time(s: StandIns) -> DataFrame:
 def latest_event(s: StandIns) -> DataFrame:
     """Latest event per user, folded before the shuffle."""
     row = ordered.latest(["event_sequence"], ["event_id", "event_type", "event_timestamp"])
-    return s.clicks().groupBy("application_id").agg(row.alias("latest")).select("application_id", "latest.*")
+    return s.clicks.groupBy("application_id").agg(row.alias("latest")).select("application_id", "latest.*")
 
 
 @query
 def previous_event(s: StandIns) -> DataFrame:
     """Previous time, status and number for every order line."""
-    split = skew.split(s.lines(), "application_id")
+    split = skew.split(s.lines, "application_id")
     split = ordered.with_previous(
         split,
         ["event_sequence", "event_timestamp", "event_id"],
@@ -198,37 +198,37 @@ def previous_event(s: StandIns) -> DataFrame:
 
 @query
 def milestones(s: StandIns) -> DataFrame:
-    return event_history(s.lines()).select(
+    return event_history(s.lines).select(
         "application_id", "event_count", "submitted_event_at", "terminal_event_at"
     )
 
 
 @query
 def sequence_check(s: StandIns) -> DataFrame:
-    return gates.history_faults(event_history(s.lines()))
+    return gates.history_faults(event_history(s.lines))
 
 
 @query
 def contiguity_check(s: StandIns) -> DataFrame:
-    return counting.failing_rows(event_history(s.lines()), report.HISTORY_RULES)
+    return counting.failing_rows(event_history(s.lines), report.HISTORY_RULES)
 
 
 @query
 def first_event_check(s: StandIns) -> DataFrame:
     name = "first_event_creates"
-    return counting.failing_rows(s.events(), {name: gates.EVENT_RULES[name]})
+    return counting.failing_rows(s.events, {name: gates.EVENT_RULES[name]})
 
 
 @query
 def transition_check(s: StandIns) -> DataFrame:
     name = "transition_allowed"
-    rules = counting.failing_rows(s.clicks(), {name: gates.EVENT_RULES[name]})
-    return rules.unionByName(gates.history_faults(event_history(s.clicks())).filter("check_name LIKE 'from%'"))
+    rules = counting.failing_rows(s.clicks, {name: gates.EVENT_RULES[name]})
+    return rules.unionByName(gates.history_faults(event_history(s.clicks)).filter("check_name LIKE 'from%'"))
 
 
 @query
 def terminal_check(s: StandIns) -> DataFrame:
-    return gates.history_faults(event_history(s.clicks())).filter("check_name = 'nothing_after_terminal'")
+    return gates.history_faults(event_history(s.clicks)).filter("check_name = 'nothing_after_terminal'")
 
 
 # --- state against events ---
@@ -236,9 +236,9 @@ def terminal_check(s: StandIns) -> DataFrame:
 
 @query
 def latest_state_check(s: StandIns) -> DataFrame:
-    history = store(event_history(s.lines()).select("application_id", *_STATE), "history")
-    strict = gates.latest_state_faults(s.applications(), history)
-    soft = report.last_state_mismatches(s.applications(), history)
+    history = store(event_history(s.lines).select("application_id", *_STATE), "history")
+    strict = gates.latest_state_faults(s.applications, history)
+    soft = report.last_state_mismatches(s.applications, history)
     return strict.unionByName(counting.counted(soft, {report.LAST_STATE: "count(*)"}))
 
 
@@ -249,19 +249,19 @@ _STATE = ["event_count", "latest", "submitted_event_at", "terminal_event_at"]
 def status_rule_check(s: StandIns) -> DataFrame:
     rules = report.ROW_RULES["onboarding_applications"]
     chosen = {name: rule for name, rule in rules.items() if "decision" in name or "_at." in name}
-    return counting.failing_rows(s.extracts().applications, chosen)
+    return counting.failing_rows(s.extracts.applications, chosen)
 
 
 @query
 def milestone_order_check(s: StandIns) -> DataFrame:
-    lines = event_history(s.lines()).select(F.col("application_id").alias("line_of"), "terminal_event_at")
-    shipped = s.applications().join(lines, F.col("application_id") == F.col("line_of"), "left")
+    lines = event_history(s.lines).select(F.col("application_id").alias("line_of"), "terminal_event_at")
+    shipped = s.applications.join(lines, F.col("application_id") == F.col("line_of"), "left")
     name = "milestones_in_order"
     raw_name = "onboarding_applications.milestones.ordered"
     return counting.union(
         [
-            counting.failing_rows(s.applications(), {name: gates.APPLICATION_RULES[name]}),
-            counting.failing_rows(s.extracts().applications, {raw_name: report.row_rules(raw_name.split(".")[0])[raw_name]}),
+            counting.failing_rows(s.applications, {name: gates.APPLICATION_RULES[name]}),
+            counting.failing_rows(s.extracts.applications, {raw_name: report.row_rules(raw_name.split(".")[0])[raw_name]}),
             counting.failing_rows(
                 shipped.select(X.seconds_between(F.col("started_at"), F.col("terminal_event_at")).alias("seconds")),
                 {"seconds_to_last_line_not_negative": "seconds < 0"},
@@ -282,7 +282,7 @@ def uniqueness_check(s: StandIns) -> DataFrame:
             counting.duplicate_groups(lines, "line", "line_groups"),
             counting.duplicate_rows(lines, "line", "line_rows"),
             gates.key_repeats(key, "line_surplus"),
-            counting.duplicate_groups(s.events(), "event_id", "event_id_unique"),
+            counting.duplicate_groups(s.events, "event_id", "event_id_unique"),
         ]
     )
 
@@ -294,7 +294,7 @@ def orphan_check(s: StandIns) -> DataFrame:
         [
             counting.orphans(orders, "o_orderkey", lines, "l_orderkey", "orders_without_lines"),
             counting.orphans(lines, "l_orderkey", orders, "o_orderkey", "lines_without_order"),
-            counting.orphans(s.events(), "application_id", s.applications(), "application_id", "events_without_parent"),
+            counting.orphans(s.events, "application_id", s.applications, "application_id", "events_without_parent"),
         ]
     )
 
@@ -312,7 +312,7 @@ def accepted_values_check(s: StandIns) -> DataFrame:
 
 @query
 def required_fields_check(s: StandIns) -> DataFrame:
-    x = s.extracts()
+    x = s.extracts
     frames = []
     for source in V.SOURCE_COLUMNS:
         rules = {name: rule for name, rule in report.row_rules(source).items() if name.endswith(".required")}
@@ -340,21 +340,21 @@ def json_validity_check(s: StandIns) -> DataFrame:
 
 @query
 def offending_sample(s: StandIns) -> DataFrame:
-    x = s.extracts()
+    x = s.extracts
     bad = report.offending(x, "onboarding_events.event_outcome.accepted")
     return report.sample(bad, "event_id").select("event_id", "application_id", "event_outcome")
 
 
 @query
 def offending_references(s: StandIns) -> DataFrame:
-    bad = report.offending(s.extracts(), "onboarding_applications.applicant_id.exists")
+    bad = report.offending(s.extracts, "onboarding_applications.applicant_id.exists")
     return bad.select("application_id", "applicant_id")
 
 
 @query
 def rowcount_check(s: StandIns) -> DataFrame:
     orders, lines = s.table("orders"), s.table("lineitem")
-    return gates.row_count_gap(lines, orders, "row_gap").unionByName(report.volume_rules(s.extracts()))
+    return gates.row_count_gap(lines, orders, "row_gap").unionByName(report.volume_rules(s.extracts))
 
 
 @query
@@ -377,39 +377,41 @@ def date_key_check(s: StandIns) -> DataFrame:
 @query
 def staging_gate(s: StandIns) -> DataFrame:
     """All 26 checks on the staged tables."""
-    history = store(event_history(s.events()).drop("first_number", "last_number"), "event_history")
-    return gates.staging_gate(s.applicants(), s.applications(), s.events(), history)
+    history = store(event_history(s.events).select(*flow.STORED_HISTORY), "event_history")
+    return gates.staging_gate(s.applicants, s.applications, s.events, history)
 
 
 @query
 def marts_gate(s: StandIns) -> DataFrame:
     """All 8 checks on stored marts."""
-    channel = store(dimensions.conformed_channels(s.applicants(), s.applications(), s.events()), "dim_channel")
-    application = store(dimensions.applications(s.applications()), "dim_application")
-    applicant = store(dimensions.applicants(s.applicants()), "dim_applicant")
-    return gates.marts_gate(
-        dim_date=store(dimensions.calendar(s.events()), "dim_date"),
-        dim_channel=channel,
-        dim_applicant=applicant,
-        dim_application=application,
-        event_fact=store(facts.event_fact(s.events(), application, channel), "fact_onboarding_events"),
-        snapshot=store(
-            facts.application_snapshot(s.applications(), event_history(s.events()), application, applicant, channel),
-            "fact_application_snapshot",
-        ),
-        applications=s.applications(),
-        events=s.events(),
+    layer = Layer(s.spark, session.scratch_path(s.spark, "marts"))
+    history = event_history(s.events).select("application_id", "failure_event_count", "session_count")
+    dims = layer.write_all(
+        {
+            "dim_date": dimensions.calendar(s.events),
+            "dim_channel": dimensions.conformed_channels(s.applicants, s.applications, s.events),
+            "dim_applicant": dimensions.applicants(s.applicants),
+            "dim_application": dimensions.applications(s.applications),
+        }
     )
+    application, channel = dims["dim_application"], dims["dim_channel"]
+    stored = layer.write_all(
+        {
+            "event_fact": facts.event_fact(s.events, application, channel),
+            "snapshot": facts.application_snapshot(s.applications, history, application, dims["dim_applicant"], channel),
+        }
+    )
+    return gates.marts_gate(**dims, **stored, applications=s.applications, events=s.events)
 
 
 @query
 def quality_report(s: StandIns) -> DataFrame:
     """All 35 rules on the untidy raw tables."""
-    x = s.extracts()
+    x = s.extracts
     return report.report(x, store(x.history(), "event_history"))
 
 
 @query
 def report_totals(s: StandIns) -> DataFrame:
-    x = s.extracts()
+    x = s.extracts
     return report.totals(report.report(x, store(x.history(), "event_history")))

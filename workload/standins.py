@@ -8,6 +8,8 @@ check has something to count.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from admitflow.plans import report, staging
@@ -200,28 +202,38 @@ FROM @lineitem
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 
 
+def for_oracle(sql: str) -> str:
+    return _bind(sql, lambda table: table)
+
+
 def _bind(sql: str, name_of) -> str:
     for table in TABLES:
         sql = sql.replace(f"@{table}", name_of(table))
     return sql
 
 
-def for_oracle(sql: str) -> str:
-    return _bind(sql, lambda table: table)
-
-
 class StandIns:
     """The derived tables over one folder of driver tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def sql(self, text: str) -> DataFrame:
-        return self.spark.sql(_bind(text, lambda table: f"parquet.`{self.folder}/{table}.parquet`"))
+        def view(name: str) -> str:
+            self.table(name).createOrReplaceTempView(f"standin_{name}")
+            return f"standin_{name}"
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        for name in TABLES:
+            if f"@{name}" in text:
+                text = text.replace(f"@{name}", view(name))
+        return self.spark.sql(text)
 
     def raw(self, untidy: bool = False) -> dict[str, DataFrame]:
         return {
@@ -230,20 +242,26 @@ class StandIns:
             "onboarding_events": self.sql(UNTIDY_EVENTS if untidy else EVENTS),
         }
 
+    @cached_property
     def applicants(self) -> DataFrame:
         return staging.stage(self.sql(APPLICANTS), "applicants")
 
+    @cached_property
     def applications(self) -> DataFrame:
         return staging.stage(self.sql(APPLICATIONS), "onboarding_applications")
 
+    @cached_property
     def events(self) -> DataFrame:
         return staging.stage(self.sql(EVENTS), "onboarding_events")
 
+    @cached_property
     def clicks(self) -> DataFrame:
         return self.sql(CLICKS)
 
+    @cached_property
     def lines(self) -> DataFrame:
         return self.sql(LINES)
 
+    @cached_property
     def extracts(self) -> report.Extracts:
         return report.Extracts.of(self.raw(untidy=True))
