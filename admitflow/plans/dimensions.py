@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from admitflow import session
 from admitflow import vocabulary as V
 from admitflow.functions import scalars as X
 from admitflow.operators import counting, keys
@@ -38,7 +41,9 @@ def calendar(events: DataFrame, column: str = "event_timestamp") -> DataFrame:
 def channels(code_columns: list[DataFrame]) -> DataFrame:
     """Every code found in the given one-column tables, plus the unknown member."""
     codes = counting.union([c.toDF("channel_code").distinct() for c in code_columns]).distinct()
-    members = keys.add_dense_key(codes.filter(F.col("channel_code").isNotNull()), "channel_key", "channel_code")
+    session.enable_checkpoints(codes.sparkSession)
+    codes = codes.filter(F.col("channel_code").isNotNull()).checkpoint()  # a few codes out of whole tables
+    members = keys.add_dense_key(codes, "channel_key", "channel_code")
     return _unknown(members, channel_key=V.UNKNOWN_KEY, channel_code=V.UNKNOWN_CODE).unionByName(members)
 
 
@@ -67,6 +72,18 @@ def applications(staged: DataFrame) -> DataFrame:
     return keys.add_dense_key(staged.select(*columns), "application_key", "application_id")
 
 
+def all_dimensions(
+    staged_applicants: DataFrame, staged_applications: DataFrame, events: DataFrame
+) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the four dimensions, which do not depend on each other."""
+    return {
+        "dim_date": lambda: calendar(events),
+        "dim_channel": lambda: conformed_channels(staged_applicants, staged_applications, events),
+        "dim_applicant": lambda: applicants(staged_applicants),
+        "dim_application": lambda: applications(staged_applications),
+    }
+
+
 def _unknown(like: DataFrame, **values) -> DataFrame:
     columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in like.schema.fields]
     return like.sparkSession.range(1).select(*columns)

@@ -18,6 +18,17 @@ def _members(dimension: DataFrame, key: str, code: str, as_key: str, as_code: st
     return dimension.filter(F.col(key) != V.UNKNOWN_KEY).select(F.col(key).alias(as_key), F.col(code).alias(as_code))
 
 
+# Codes that still fit every executor with ease.
+BROADCAST_CODES = 100_000
+
+
+def _codes(dim_channel: DataFrame) -> DataFrame:
+    """Lookup side of the channel dimension, broadcast when counted small: few channels hold many rows each, so the
+    rows should not be shuffled by channel."""
+    members = _members(dim_channel, "channel_key", "channel_code", "__channel", "__channel_code")
+    return F.broadcast(members) if dim_channel.count() <= BROADCAST_CODES else members
+
+
 def _found(key: str) -> Column:
     return F.coalesce(F.col(key), F.lit(V.UNKNOWN_KEY).cast("bigint"))
 
@@ -35,7 +46,7 @@ def event_fact(events: DataFrame, dim_application: DataFrame, dim_channel: DataF
         few = applications.filter(split.holds_hot_key(F.col("__application_id")))  # one row per hot key
         located = located.unionByName(split.hot.join(F.broadcast(few), match, "left"))
 
-    channels = _members(dim_channel, "channel_key", "channel_code", "__channel", "__channel_code")
+    channels = _codes(dim_channel)
     gap = X.seconds_between(F.col("__previous"), F.col("event_timestamp"))
     return located.join(channels, F.col("source_channel") == F.col("__channel_code"), "left").select(
         "event_id",
@@ -73,7 +84,7 @@ def application_snapshot(
     )
     lookup = _members(dim_application, "application_key", "application_id", "__application", "__application_id")
     owners = _members(dim_applicant, "applicant_key", "applicant_id", "__applicant", "__applicant_id")
-    channels = _members(dim_channel, "channel_key", "channel_code", "__channel", "__channel_code")
+    channels = _codes(dim_channel)
 
     joined = (
         applications.join(per_application, F.col("application_id") == F.col("__history_id"), "left")

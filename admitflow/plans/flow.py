@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,13 +48,14 @@ class Flow:
     def ingest_raw(self) -> dict[str, int]:
         """Copy the extracts as text; gives the rows per table."""
         raw = self.layer("raw")
-        raw.write_all(extracts.read_extracts(self.spark, self.source_dir))
+        paths = extracts.extract_paths(self.source_dir)
+        raw.write_all({source: partial(extracts.read_csv, self.spark, path) for source, path in paths.items()})
         return {source: raw.count(source) for source in V.SOURCE_COLUMNS}
 
     def build_staging(self) -> None:
         raw, staged = self.layer("raw"), self.layer("staging")
         staged.write_all(
-            {table: staging.stage(raw.read(source), source) for source, table in staging.STAGED_NAMES.items()}
+            {t: partial(staging.stage, raw.read(source), source) for source, t in staging.STAGED_NAMES.items()}
         )
         staged.write("event_history", event_history(staged.read("stg_events")).select(*STORED_HISTORY))
 
@@ -67,20 +69,13 @@ class Flow:
         applicants, applications, events = self._staged()
         history = self.layer("staging").read("event_history")
         marts = self.layer("marts")
-        dims = marts.write_all(
-            {
-                "dim_date": dimensions.calendar(events),
-                "dim_channel": dimensions.conformed_channels(applicants, applications, events),
-                "dim_applicant": dimensions.applicants(applicants),
-                "dim_application": dimensions.applications(applications),
-            }
-        )
+        dims = marts.write_all(dimensions.all_dimensions(applicants, applications, events))
         application, applicant, channel = dims["dim_application"], dims["dim_applicant"], dims["dim_channel"]
         marts.write_all(
             {
-                "fact_onboarding_events": facts.event_fact(events, application, channel),
-                "fact_application_snapshot": facts.application_snapshot(
-                    applications, history, application, applicant, channel
+                "fact_onboarding_events": partial(facts.event_fact, events, application, channel),
+                "fact_application_snapshot": partial(
+                    facts.application_snapshot, applications, history, application, applicant, channel
                 ),
             }
         )

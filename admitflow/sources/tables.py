@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -24,11 +25,11 @@ class Layer:
         df.write.mode("overwrite").parquet(self.path(table))
         return self.read(table)
 
-    def write_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        """Store tables that do not depend on each other, as concurrent jobs, so that one fills the other's gaps."""
-        write = inheritable_thread_target(self.spark)(self.write)
-        with ThreadPoolExecutor(len(tables)) as pool:
-            return dict(zip(tables, pool.map(write, tables.keys(), tables.values())))
+    def write_all(self, builds: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Build and store tables that do not depend on each other, as concurrent jobs that fill each other's gaps."""
+        write = inheritable_thread_target(self.spark)(lambda table, build: self.write(table, build()))
+        with ThreadPoolExecutor(len(builds)) as pool:
+            return dict(zip(builds, pool.map(write, builds.keys(), builds.values())))
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))

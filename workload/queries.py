@@ -98,15 +98,20 @@ def application_dim(s: StandIns) -> DataFrame:
 # --- facts ---
 
 
+def _dimensions(s: StandIns, events: DataFrame) -> dict[str, DataFrame]:
+    """The four dimensions, stored as in the flow."""
+    layer = Layer(s.spark, session.scratch_path(s.spark, "dimensions"))
+    return layer.write_all(dimensions.all_dimensions(s.applicants, s.applications, events))
+
+
 def _event_fact(s: StandIns, events: DataFrame) -> DataFrame:
-    applications = dimensions.applications(s.applications)
-    channel = dimensions.conformed_channels(s.applicants, s.applications, events)
-    return facts.event_fact(events, applications, channel)
+    dims = _dimensions(s, events)
+    return facts.event_fact(events, dims["dim_application"], dims["dim_channel"])
 
 
-def _snapshot(s: StandIns, events: DataFrame, application: DataFrame, channel: DataFrame) -> DataFrame:
+def _snapshot(s: StandIns, events: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return facts.application_snapshot(
-        s.applications, event_history(events), application, dimensions.applicants(s.applicants), channel
+        s.applications, event_history(events), dims["dim_application"], dims["dim_applicant"], dims["dim_channel"]
     )
 
 
@@ -123,29 +128,22 @@ def event_fact_gap(s: StandIns) -> DataFrame:
 
 @query
 def application_snapshot(s: StandIns) -> DataFrame:
-    channel = dimensions.conformed_channels(s.applicants, s.applications, s.events)
-    return _snapshot(s, s.events, dimensions.applications(s.applications), channel)
+    return _snapshot(s, s.events, _dimensions(s, s.events))
 
 
 @query
 def order_line_snapshot(s: StandIns) -> DataFrame:
     """Snapshot with order lines as events: some orders have none and must show zero, not NULL."""
-    channel = dimensions.conformed_channels(s.applicants, s.applications, s.lines)
-    return _snapshot(s, s.lines, dimensions.applications(s.applications), channel)
+    return _snapshot(s, s.lines, _dimensions(s, s.lines))
 
 
 # --- outputs ---
 
 
-def _star(s: StandIns) -> tuple[DataFrame, DataFrame, DataFrame]:
-    channel = dimensions.conformed_channels(s.applicants, s.applications, s.events)
-    application = dimensions.applications(s.applications)
-    return _snapshot(s, s.events, application, channel), application, channel
-
-
 def _funnel(s: StandIns) -> DataFrame:
-    snapshot, application, channel = _star(s)
-    return outcomes.funnel(snapshot, application, dimensions.calendar(s.events), channel)
+    dims = _dimensions(s, s.events)
+    snapshot = _snapshot(s, s.events, dims)
+    return outcomes.funnel(snapshot, dims["dim_application"], dims["dim_date"], dims["dim_channel"])
 
 
 @query
@@ -156,14 +154,15 @@ def funnel_by_date_channel(s: StandIns) -> DataFrame:
 @query
 def funnel_on_checked_grain(s: StandIns) -> DataFrame:
     """The cheaper form for a snapshot known to have one row per application."""
-    snapshot, application, channel = _star(s)
-    cube = outcomes.outcome_cube(snapshot, application)
-    return outcomes.funnel_from_cube(cube, dimensions.calendar(s.events), channel)
+    dims = _dimensions(s, s.events)
+    cube = outcomes.outcome_cube(_snapshot(s, s.events, dims), dims["dim_application"])
+    return outcomes.funnel_from_cube(cube, dims["dim_date"], dims["dim_channel"])
 
 
 @query
 def duration_failure_by_channel(s: StandIns) -> DataFrame:
-    return outcomes.durations(*_star(s))
+    dims = _dimensions(s, s.events)
+    return outcomes.durations(_snapshot(s, s.events, dims), dims["dim_application"], dims["dim_channel"])
 
 
 @query
@@ -384,21 +383,12 @@ def staging_gate(s: StandIns) -> DataFrame:
 @query
 def marts_gate(s: StandIns) -> DataFrame:
     """All 8 checks on stored marts."""
-    layer = Layer(s.spark, session.scratch_path(s.spark, "marts"))
-    history = event_history(s.events).select("application_id", "failure_event_count", "session_count")
-    dims = layer.write_all(
-        {
-            "dim_date": dimensions.calendar(s.events),
-            "dim_channel": dimensions.conformed_channels(s.applicants, s.applications, s.events),
-            "dim_applicant": dimensions.applicants(s.applicants),
-            "dim_application": dimensions.applications(s.applications),
-        }
-    )
-    application, channel = dims["dim_application"], dims["dim_channel"]
+    dims = _dimensions(s, s.events)
+    layer = Layer(s.spark, session.scratch_path(s.spark, "facts"))
     stored = layer.write_all(
         {
-            "event_fact": facts.event_fact(s.events, application, channel),
-            "snapshot": facts.application_snapshot(s.applications, history, application, dims["dim_applicant"], channel),
+            "event_fact": lambda: facts.event_fact(s.events, dims["dim_application"], dims["dim_channel"]),
+            "snapshot": lambda: _snapshot(s, s.events, dims),
         }
     )
     return gates.marts_gate(**dims, **stored, applications=s.applications, events=s.events)
