@@ -10,9 +10,15 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+def _starts_with_date(col: Column) -> Column:
+    """The text begins like yyyy-m-d. Spark would also read a bare year, or a bare time as a time of today."""
+    return (F.substring(col, 5, 1) == "-") & (F.length(col) >= 8)
+
+
 def strict_timestamp(col: Column) -> Column:
     """Text to a zone-less timestamp; unreadable text raises, an explicit offset is shifted to UTC."""
-    return col.cast("timestamp").cast("timestamp_ntz")
+    readable = F.when(_starts_with_date(col), col).otherwise(F.concat(F.lit("no date: "), col))
+    return readable.cast("timestamp").cast("timestamp_ntz")
 
 
 def strict_int(col: Column) -> Column:
@@ -21,7 +27,7 @@ def strict_int(col: Column) -> Column:
 
 def lenient_timestamp(col: Column) -> Column:
     """As ``strict_timestamp`` with NULL for unreadable text, decided row by row."""
-    return col.try_cast("timestamp").cast("timestamp_ntz")
+    return F.when(_starts_with_date(col), col).try_cast("timestamp").cast("timestamp_ntz")
 
 
 def lenient_number(col: Column) -> Column:

@@ -41,6 +41,8 @@ class Flow:
     source_dir: str
     warehouse_dir: str
     output_dir: str
+    # Whether text fields of the extracts hold line breaks; None has the files looked at.
+    line_breaks_in_fields: bool | None = None
 
     def layer(self, name: str) -> Layer:
         return Layer(self.spark, f"{self.warehouse_dir.rstrip('/')}/{name}")
@@ -49,7 +51,13 @@ class Flow:
         """Copy the extracts as text; gives the rows per table."""
         raw = self.layer("raw")
         paths = extracts.extract_paths(self.source_dir)
-        raw.write_all({source: partial(extracts.read_csv, self.spark, path) for source, path in paths.items()})
+        session.fit_shuffles(self.spark, extracts.total_bytes(self.spark, self.source_dir))
+        raw.write_all(
+            {
+                source: partial(extracts.read_csv, self.spark, path, self.line_breaks_in_fields)
+                for source, path in paths.items()
+            }
+        )
         return {source: raw.count(source) for source in V.SOURCE_COLUMNS}
 
     def build_staging(self) -> None:

@@ -177,3 +177,20 @@ def marts_gate(
             date_key_faults(event_fact, snapshot, dim_date),
         ]
     )
+
+
+def extra_checks(
+    applications: DataFrame, event_fact: DataFrame, snapshot: DataFrame, dim_application: DataFrame
+) -> DataFrame:
+    """Checks that follow from the description of the model but belong to neither gate."""
+    filled = snapshot.filter(F.col("application_key") != V.UNKNOWN_KEY)
+    return counting.union(
+        [
+            counting.failing_rows(applications, {"updated_not_before_completed": "updated_at < completed_at"}),
+            counting.failing_rows(snapshot, {"seconds_to_submit_not_negative": "seconds_to_submit < 0"}),
+            counting.failing_rows(event_fact, {"seconds_since_prev_not_negative": "seconds_since_prev_event < 0"}),
+            counting.orphans(
+                filled, "application_key", dim_application, "application_key", "snapshot_application_key_exists"
+            ),
+        ]
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -18,6 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+SHUFFLE_BYTES = 128 * 1024 * 1024
+# Beyond this the bookkeeping of map outputs costs more than larger partitions do.
+MAX_SHUFFLE_PARTITIONS = 50_000
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings the engine's expressions assume to a session made elsewhere."""
@@ -34,6 +39,14 @@ def build(app: str = "admitflow", **conf: str) -> SparkSession:
     return prepare(builder.getOrCreate())
 
 
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles of an input of this size with enough partitions; adaptive execution merges what stays small."""
+    name = "spark.sql.shuffle.partitions"
+    wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if wanted > int(spark.conf.get(name)):
+        spark.conf.set(name, str(wanted))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -621,6 +621,18 @@ WINDOW n AS (PARTITION BY application_id ORDER BY event_sequence, event_timestam
     ),
     "staging_gate": _sql(_STAGING_GATE),
     "marts_gate": _sql(_MARTS_GATE),
+    "extra_checks": _sql(
+        _all(
+            _counts("stg_applications", {"updated_not_before_completed": "updated_at < completed_at"}),
+            _counts("snapshot", {"seconds_to_submit_not_negative": "seconds_to_submit < 0"}),
+            _counts("events_fact", {"seconds_since_prev_not_negative": "seconds_since_prev_event < 0"}),
+            _scalar(
+                "snapshot_application_key_exists",
+                """SELECT count(*) FROM snapshot WHERE application_key <> -1
+                   AND application_key NOT IN (SELECT application_key FROM dim_application)""",
+            ),
+        )
+    ),
     "quality_report": _sql(
         f"SELECT check_name, CASE WHEN bad_count > 0 THEN 'FAIL' ELSE 'PASS' END AS status, bad_count FROM ({_report()})"
     ),

@@ -394,6 +394,14 @@ def marts_gate(s: StandIns) -> DataFrame:
     return gates.marts_gate(**dims, **stored, applications=s.applications, events=s.events)
 
 
+@query
+def extra_checks(s: StandIns) -> DataFrame:
+    dims = _dimensions(s, s.events)
+    application = dims["dim_application"]
+    fact = facts.event_fact(s.events, application, dims["dim_channel"])
+    return gates.extra_checks(s.applications, fact, _snapshot(s, s.events, dims), application)
+
+
 @query
 def quality_report(s: StandIns) -> DataFrame:
     """All 35 rules on the untidy raw tables."""
