@@ -34,6 +34,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def build(app: str = "admitflow", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for name, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(name, value)
     return prepare(builder.getOrCreate())

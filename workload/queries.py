@@ -98,14 +98,20 @@ def application_dim(s: StandIns) -> DataFrame:
 # --- facts ---
 
 
-def _dimensions(s: StandIns, events: DataFrame) -> dict[str, DataFrame]:
-    """The four dimensions, stored as in the flow."""
+EVENT_LOOKUPS = ["dim_application", "dim_channel"]
+SNAPSHOT_LOOKUPS = [*EVENT_LOOKUPS, "dim_applicant"]
+ALL_DIMENSIONS = [*SNAPSHOT_LOOKUPS, "dim_date"]
+
+
+def _dimensions(s: StandIns, events: DataFrame, names: list[str]) -> dict[str, DataFrame]:
+    """The named dimensions, stored as in the flow."""
+    builds = dimensions.all_dimensions(s.applicants, s.applications, events)
     layer = Layer(s.spark, session.scratch_path(s.spark, "dimensions"))
-    return layer.write_all(dimensions.all_dimensions(s.applicants, s.applications, events))
+    return layer.write_all({name: builds[name] for name in names})
 
 
 def _event_fact(s: StandIns, events: DataFrame) -> DataFrame:
-    dims = _dimensions(s, events)
+    dims = _dimensions(s, events, EVENT_LOOKUPS)
     return facts.event_fact(events, dims["dim_application"], dims["dim_channel"])
 
 
@@ -128,20 +134,20 @@ def event_fact_gap(s: StandIns) -> DataFrame:
 
 @query
 def application_snapshot(s: StandIns) -> DataFrame:
-    return _snapshot(s, s.events, _dimensions(s, s.events))
+    return _snapshot(s, s.events, _dimensions(s, s.events, SNAPSHOT_LOOKUPS))
 
 
 @query
 def order_line_snapshot(s: StandIns) -> DataFrame:
     """Snapshot with order lines as events: some orders have none and must show zero, not NULL."""
-    return _snapshot(s, s.lines, _dimensions(s, s.lines))
+    return _snapshot(s, s.lines, _dimensions(s, s.lines, SNAPSHOT_LOOKUPS))
 
 
 # --- outputs ---
 
 
 def _funnel(s: StandIns) -> DataFrame:
-    dims = _dimensions(s, s.events)
+    dims = _dimensions(s, s.events, ALL_DIMENSIONS)
     snapshot = _snapshot(s, s.events, dims)
     return outcomes.funnel(snapshot, dims["dim_application"], dims["dim_date"], dims["dim_channel"])
 
@@ -154,14 +160,14 @@ def funnel_by_date_channel(s: StandIns) -> DataFrame:
 @query
 def funnel_on_checked_grain(s: StandIns) -> DataFrame:
     """The cheaper form for a snapshot known to have one row per application."""
-    dims = _dimensions(s, s.events)
+    dims = _dimensions(s, s.events, ALL_DIMENSIONS)
     cube = outcomes.outcome_cube(_snapshot(s, s.events, dims), dims["dim_application"])
     return outcomes.funnel_from_cube(cube, dims["dim_date"], dims["dim_channel"])
 
 
 @query
 def duration_failure_by_channel(s: StandIns) -> DataFrame:
-    dims = _dimensions(s, s.events)
+    dims = _dimensions(s, s.events, SNAPSHOT_LOOKUPS)
     return outcomes.durations(_snapshot(s, s.events, dims), dims["dim_application"], dims["dim_channel"])
 
 
@@ -383,7 +389,7 @@ def staging_gate(s: StandIns) -> DataFrame:
 @query
 def marts_gate(s: StandIns) -> DataFrame:
     """All 8 checks on stored marts."""
-    dims = _dimensions(s, s.events)
+    dims = _dimensions(s, s.events, ALL_DIMENSIONS)
     layer = Layer(s.spark, session.scratch_path(s.spark, "facts"))
     stored = layer.write_all(
         {
@@ -396,7 +402,7 @@ def marts_gate(s: StandIns) -> DataFrame:
 
 @query
 def extra_checks(s: StandIns) -> DataFrame:
-    dims = _dimensions(s, s.events)
+    dims = _dimensions(s, s.events, ALL_DIMENSIONS)
     application = dims["dim_application"]
     fact = facts.event_fact(s.events, application, dims["dim_channel"])
     return gates.extra_checks(s.applications, fact, _snapshot(s, s.events, dims), application)
