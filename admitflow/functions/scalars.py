@@ -44,8 +44,3 @@ def date_key(ts: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed from start to end: 0.9 s to 1.1 s is one."""
     return F.unix_timestamp(end) - F.unix_timestamp(start)
-
-
-def whole_days_between(start: Column, end: Column) -> Column:
-    """Full days from start to end."""
-    return F.timestamp_diff("DAY", start, end)

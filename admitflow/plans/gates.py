@@ -50,8 +50,8 @@ EVENT_RULES = {
     "event_type_accepted": P.outside("event_type", V.EVENT_TYPES),
     "event_metadata_json": f"NOT ({P.is_json('event_metadata')})",
     "events_required": P.any_null(V.STAGED_REQUIRED["onboarding_events"]),
-    "first_event_creates": "event_sequence = 1 AND NOT (coalesce(event_type = 'APPLICATION_CREATED', true)"
-    " AND from_status IS NULL AND coalesce(to_status = 'STARTED', true))",
+    "first_event_creates": "event_sequence = 1 AND NOT (event_type = 'APPLICATION_CREATED'"
+    " AND from_status IS NULL AND to_status = 'STARTED')",
     # A status change with an unknown side is not an allowed one.
     "transition_allowed": f"event_sequence > 1 AND NOT ({_ALLOWED})",
 }
@@ -65,8 +65,8 @@ HISTORY_COUNTS = {
 
 # Conditions on an application joined with its history.
 LATEST_STATE_RULES = {
-    "state_matches_latest_event": "application_status <> latest.to_status OR current_step <> latest.step_name"
-    " OR updated_at <> latest.event_timestamp",
+    "state_matches_latest_event": "NOT (application_status = latest.to_status AND current_step = latest.step_name"
+    " AND updated_at = latest.event_timestamp)",
     "milestones_match_events": "NOT (submitted_at <=> submitted_event_at AND completed_at <=> terminal_event_at)",
 }
 
@@ -110,8 +110,8 @@ def staging_gate(
 
 
 def row_count_gap(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-    both = left.agg(F.count("*").alias("l")).crossJoin(right.agg(F.count("*").alias("r")))  # one row each
-    return counting.counted(both, {name: "sum(abs(l - r))"})
+    signed = left.selectExpr("count(*) AS n").unionByName(right.selectExpr("-count(*) AS n"))
+    return counting.counted(signed, {name: "abs(sum(n))"})
 
 
 def key_repeats(dimensions: dict[str, DataFrame], name: str) -> DataFrame:

@@ -229,7 +229,9 @@ def _missing(source: str) -> str:
     return " OR ".join(f"{c} IS NULL" for c in V.STAGED_REQUIRED[source])
 
 
-_FIRST_EVENT = "event_sequence = 1 AND (event_type <> 'APPLICATION_CREATED' OR from_status IS NOT NULL OR to_status <> 'STARTED')"
+_FIRST_EVENT = (
+    "event_sequence = 1 AND NOT (event_type = 'APPLICATION_CREATED' AND from_status IS NULL AND to_status = 'STARTED')"
+)
 _ALLOWED = _listed(f"{a}>{b}" for a, b in V.TRANSITIONS)
 _TRANSITION = f"event_sequence > 1 AND coalesce(from_status || '>' || to_status, '?') NOT IN {_ALLOWED}"
 _NOT_INCREASING = "event_sequence <= p_number"
@@ -242,9 +244,7 @@ _HISTORY = {
     "from_status_continues": _BROKEN_STATUS,
     "nothing_after_terminal": _AFTER_END,
 }
-_MILESTONES = (
-    "submitted_at < started_at OR completed_at < started_at OR completed_at < submitted_at OR updated_at < started_at"
-)
+_MILESTONES = "started_at > least(submitted_at, completed_at, updated_at) OR submitted_at > completed_at"
 _LAST_STATE = "onboarding_applications.application_status.matches_last_event"
 
 
@@ -253,14 +253,14 @@ def _state_checks(latest: str, milestones: str) -> str:
         _scalar(
             "state_matches_latest_event",
             f"""SELECT count(*) FROM stg_applications a JOIN {latest} l ON a.application_id = l.application_id
-                WHERE a.application_status <> l.to_status OR a.current_step <> l.step_name
-                   OR a.updated_at <> l.event_timestamp""",
+                WHERE NOT (a.application_status = l.to_status AND a.current_step = l.step_name
+                           AND a.updated_at = l.event_timestamp)""",
         ),
         _scalar(
             "milestones_match_events",
             f"""SELECT count(*) FROM stg_applications a JOIN {milestones} m ON a.application_id = m.application_id
-                WHERE a.submitted_at IS DISTINCT FROM m.submitted_event_at
-                   OR a.completed_at IS DISTINCT FROM m.terminal_event_at""",
+                WHERE (a.submitted_at, a.completed_at)
+                      IS DISTINCT FROM (m.submitted_event_at, m.terminal_event_at)""",
         ),
     )
 
