@@ -376,28 +376,44 @@ def date_key_check(s: StandIns) -> DataFrame:
     )
 
 
-# --- whole gates ---
+# --- whole gates, on stored tables as in the flow ---
+
+
+def _stored_staging(s: StandIns) -> list[DataFrame]:
+    layer = Layer(s.spark, session.scratch_path(s.spark, "staging"))
+    builds = {"applicants": s.applicants, "applications": s.applications, "events": s.events}
+    return list(layer.write_all({name: lambda df=df: df for name, df in builds.items()}).values())
+
+
+def _stored_extracts(s: StandIns) -> report.Extracts:
+    layer = Layer(s.spark, session.scratch_path(s.spark, "raw"))
+    return report.Extracts.of(layer.write_all({name: lambda df=df: df for name, df in s.raw(untidy=True).items()}))
 
 
 @query
 def staging_gate(s: StandIns) -> DataFrame:
     """All 26 checks on the staged tables."""
-    history = store(event_history(s.events).select(*flow.STORED_HISTORY), "event_history")
-    return gates.staging_gate(s.applicants, s.applications, s.events, history)
+    applicants, applications, events = _stored_staging(s)
+    history = store(event_history(events).select(*flow.STORED_HISTORY), "event_history")
+    return gates.staging_gate(applicants, applications, events, history)
 
 
 @query
 def marts_gate(s: StandIns) -> DataFrame:
     """All 8 checks on stored marts."""
-    dims = _dimensions(s, s.events, ALL_DIMENSIONS)
-    layer = Layer(s.spark, session.scratch_path(s.spark, "facts"))
+    applicants, applications, events = _stored_staging(s)
+    layer = Layer(s.spark, session.scratch_path(s.spark, "marts"))
+    dims = layer.write_all(dimensions.all_dimensions(applicants, applications, events))
+    application, channel = dims["dim_application"], dims["dim_channel"]
     stored = layer.write_all(
         {
-            "event_fact": lambda: facts.event_fact(s.events, dims["dim_application"], dims["dim_channel"]),
-            "snapshot": lambda: _snapshot(s, s.events, dims),
+            "event_fact": lambda: facts.event_fact(events, application, channel),
+            "snapshot": lambda: facts.application_snapshot(
+                applications, event_history(events), application, dims["dim_applicant"], channel
+            ),
         }
     )
-    return gates.marts_gate(**dims, **stored, applications=s.applications, events=s.events)
+    return gates.marts_gate(**dims, **stored, applications=applications, events=events)
 
 
 @query
@@ -411,11 +427,11 @@ def extra_checks(s: StandIns) -> DataFrame:
 @query
 def quality_report(s: StandIns) -> DataFrame:
     """All 35 rules on the untidy raw tables."""
-    x = s.extracts
+    x = _stored_extracts(s)
     return report.report(x, store(x.history(), "event_history"))
 
 
 @query
 def report_totals(s: StandIns) -> DataFrame:
-    x = s.extracts
+    x = _stored_extracts(s)
     return report.totals(report.report(x, store(x.history(), "event_history")))
