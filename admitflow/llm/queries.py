@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admitflow.llm import packing
+from admitflow.llm import packing, toxicity
 from admitflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,9 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "neighbours")
