@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admitflow.llm import language, packing, toxicity
+from admitflow.llm import language, packing, secrets, toxicity
 from admitflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
