@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admitflow.llm import language, packing, secrets, toxicity
+from admitflow.llm import fingerprints, language, licenses, mixing, packing, secrets, toxicity
 from admitflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,18 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("at")
+
+
+@query
+def op2_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.scan(spark, table(spark, sf_dir, "documents"))
