@@ -3,14 +3,15 @@
 A document's set holds its distinct five-word runs. Documents with equal sets are one class. A class is posted under
 each of its signature's coordinate-value pairs. Two sets that are similar enough agree in a number of coordinates, so of
 each class only the rarest pairs have to be looked at (the prefix); pairs that nobody shares are skipped altogether. In a
-posting list the members are first compared with a few pivots only. What these comparisons connect is one component;
-lists within one component are skipped from then on, and only members of different components are still compared with
-each other. Candidates must agree in enough coordinates and are then confirmed on their whole sets.
+posting list the members are compared with a few pivots only, again and again. What these comparisons connect is one
+component, and lists within one component are skipped from then on. Once the pivots find nothing more, the members of
+different components that are left in a list are compared with each other. Candidates must agree in enough coordinates and are then confirmed on their whole sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,10 @@ from admitflow.llm.wordhash import mix, run_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 LEAST_PERCENT = 75
-# With 32 coordinates a pair of similarity 0.75 agrees in fewer than 13 about five times in a million.
-COORDINATES = 32
-LEAST_MATCHES = 13
+# Of 64 coordinates a pair of similarity 0.75 agrees in fewer than 34 about three times in 100,000, more similar ones
+# hardly ever. The higher the threshold, the shorter the prefix: what a third of the text shares is then not posted.
+COORDINATES = 64
+LEAST_MATCHES = 34
 # Bytes of text that one pass over arrays holds.
 PASS_BYTES = 1 << 22
 
@@ -118,9 +120,12 @@ def _posted(classes: DataFrame) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose signatures agree in enough coordinates."""
-    side = lambda name: classes.select(F.col("id").alias(name), F.col("signature").alias(f"s{name}"))
+    """The pairs whose sizes allow the similarity and whose signatures agree in enough coordinates."""
+    side = lambda name: classes.select(
+        F.col("id").alias(name), F.col("signature").alias(f"s{name}"), F.col("size").alias(f"n{name}")
+    )
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.where(100 * F.least("na", "nb") >= LEAST_PERCENT * F.greatest("na", "nb"))
     equal = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e))
     return both.where(equal >= LEAST_MATCHES).select("a", "b")
 
@@ -153,44 +158,82 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("id"), F.col("label").alias("component"))
 
 
-def _links(classes: DataFrame, sets_of) -> DataFrame:
-    """Confirmed links (a, b) that connect all that is connected."""
-    posted = stored(_posted(classes), "postings")
-    order = F.struct(F.xxhash64("id"), F.col("id"))
-    lists = posted.groupBy("coordinate", "value").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.min(order).alias("any")
-    )
-    lists = lists.where("least < most").select(
-        "coordinate", "value", F.array("least", "most", F.col("any.id")).alias("pivots")
-    )
-    members = stored(posted.join(lists, ["coordinate", "value"]), "members")
-    sets = stored(sets_of(members.select("id").distinct()), "sets")
-    starred = members.select(F.explode("pivots").alias("pivot"), "id").where("pivot <> id")
-    starred = starred.select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct()
-    tried = stored(_agreeing(starred, classes), "pairs")
-    links = stored(_confirmed(tried, sets), "links")
-    known = components(links).withColumnRenamed("id", "i")
-    labelled = members.join(known, F.col("id") == F.col("i"), "left").select(
-        "coordinate", "value", "id", F.coalesce("component", "id").alias("component")
-    )
-    labelled = stored(labelled, "members")
-    open_lists = labelled.groupBy("coordinate", "value").agg(
+def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members of the lists that still hold different components."""
+    lists = members.groupBy("coordinate", "value").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     )
-    open_lists = open_lists.where("least < most").select("coordinate", "value")
-    rest = stored(labelled.join(open_lists, ["coordinate", "value"]), "members")
-    left, right = rest.alias("l"), rest.alias("r")
+    return members.join(lists.where("least < most").drop("least", "most"), ["coordinate", "value"])
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc_id, component, value in zip(*(batch.column(k) for k in range(3))):
+            hashes = np.frombuffer(value.as_py(), np.int64)
+            same = [pa.array(np.full(len(hashes), v.as_py())) for v in (doc_id, component)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(hashes)], ["id", "component", "hash"])
+
+
+# A pair of sets shares at least 75/175 of their sizes' sum: the intersection's part of 1.75 times itself.
+_SHARED = 100 + LEAST_PERCENT
+
+
+def _reaching(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` with the size of their set and how much of it any other component here has (reach).
+
+    No pair across components can share more than the smaller reach. Members that cannot be similar to anything are
+    left out. The pairs within a large group of distant relatives are so excluded before they are formed.
+    """
+    ids = members.select("id", "component").distinct().join(sets, "id")
+    rows = stored(ids.select("id", "component", "set").mapInArrow(_shingles, "id long, component long, hash long"), "runs")
+    across = rows.groupBy("hash").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    reach = rows.join(across.where("least < most"), "hash").groupBy("id").agg(F.count("*").alias("reach"))
+    sizes = ids.select("id", (F.length("set") / 8).cast("long").alias("size")).join(reach, "id")
+    able = sizes.where(100 * F.col("reach") >= LEAST_PERCENT * F.col("size"))
+    return members.join(able, "id")
+
+
+def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Confirmed links (a, b) that connect all that is connected."""
+    posted = _posted(classes).withColumn("component", F.col("id"))
+    members = stored(_open(stored(posted, "postings")), "members")
+    sets = stored(sets_of(members.select("id").distinct()), "sets")
+    tried = links = None
+    for turn in itertools.count():
+        # Pivots: a member of the first component, one of the last, and one that changes from turn to turn.
+        drawn = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("component"), F.col("id"))
+        own = F.struct(F.lit(0).alias("h"), F.col("component"), F.col("id"))
+        pivots = members.groupBy("coordinate", "value").agg(F.array(F.min(own), F.max(own), F.min(drawn)).alias("p"))
+        pivots = pivots.select("coordinate", "value", F.transform("p", lambda p: p.dropFields("h")).alias("p"))
+        starred = members.join(pivots, ["coordinate", "value"]).select("id", "component", F.explode("p").alias("p"))
+        pairs = _ordered(starred.where("p.component <> component"), "id", "p.id")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        new = stored(_agreeing(pairs, classes), "pairs")
+        found = stored(_confirmed(new, sets), "links")
+        tried = new if tried is None else tried.union(new)
+        links = found if links is None else links.union(found)
+        if not found.count():
+            break
+        known = components(links).withColumnRenamed("id", "i").withColumnRenamed("component", "c")
+        labelled = members.join(known, F.col("id") == F.col("i"), "left").select(
+            "coordinate", "value", "id", F.coalesce("c", "component").alias("component")
+        )
+        members = stored(_open(stored(labelled, "members")), "members")
+    members = stored(_reaching(members, sets), "members")
+    left, right = members.alias("l"), members.alias("r")
     on = (
         (F.col("l.coordinate") == F.col("r.coordinate"))
         & (F.col("l.value") == F.col("r.value"))
         & (F.col("l.component") < F.col("r.component"))
+        & (_SHARED * F.least("l.reach", "r.reach") >= LEAST_PERCENT * (F.col("l.size") + F.col("r.size")))
     )
-    crossed = left.join(right, on).select(
-        F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
-    )
-    untried = crossed.distinct().join(tried, ["a", "b"], "left_anti")
-    more = _confirmed(stored(_agreeing(untried, classes), "pairs"), sets)
-    return links.union(more)
+    crossed = _ordered(left.join(right, on), "l.id", "r.id").join(tried, ["a", "b"], "left_anti")
+    return links.union(_confirmed(stored(_agreeing(crossed, classes), "pairs"), sets))
 
 
 def group(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -206,7 +249,9 @@ def group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     schema = "doc_id long, n_shingles long, key binary, signature array<int>"
     signed = stored(rows.mapInArrow(_sign, schema), "signatures")
     named = signed.where(F.col("doc_id").isNotNull() & F.col("key").isNotNull())
-    classes = named.groupBy("key").agg(F.min("doc_id").alias("id"), F.any_value("signature").alias("signature"))
+    classes = named.groupBy("key").agg(
+        F.min("doc_id").alias("id"), F.any_value("n_shingles").alias("size"), F.any_value("signature").alias("signature")
+    )
     classes = stored(classes, "classes")
     # An id may have several texts, and then stand for several classes; each is compared by its own set.
     texts = rows.where(F.col("doc_id").isNotNull())
@@ -215,7 +260,7 @@ def group(spark: SparkSession, docs: DataFrame) -> DataFrame:
         wanted = texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
         return wanted.mapInArrow(_sets, "id long, set binary").where(F.length("set") > 0).distinct()
 
-    links = _links(classes.select("id", "signature"), sets_of)
+    links = _links(classes.select("id", "size", "signature"), sets_of)
     # An id with several texts ties its classes together.
     own = named.join(classes.select("key", F.col("id").alias("class")), "key").select("doc_id", "class")
     ties = own.where("doc_id <> class").select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
