@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admitflow.llm import fingerprints, language, licenses, mixing, neardup, packing, secrets, toxicity
+from admitflow.llm import fingerprints, language, licenses, mixing, neardup, packing, passages, secrets, toxicity
 from admitflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op2_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept_text")
