@@ -173,3 +173,17 @@ def mix(
         "slots", (F.col("block") % F.col("quota")).cast("int")
     )
     return placed.select("doc_id", "source", "chars", "block", slot.cast("long").alias("slot"), "start", "at")
+
+
+def interleave(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """``docs`` in the order of the schedule: partitions, and the files written from them, are runs of slots.
+
+    Every row stays, and so do its columns. Repeated rows come one after the other.
+    """
+    mixed = mix(docs, weights).groupBy("doc_id", "at").agg(F.min(F.struct("slot", "start")).alias("__place"))
+    mixed = mixed.select(F.col("doc_id").alias("__id"), F.col("at").alias("__at"), "__place")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__at"))
+    placed = docs.join(mixed, same)
+    order = [F.col("__place.slot"), F.col("__place.start")]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(*docs.columns)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admitflow.llm import fingerprints, language, licenses, mixing, neardup, packing, passages, secrets, toxicity
+from admitflow.llm import (
+    fingerprints,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    neighbours,
+    packing,
+    passages,
+    secrets,
+    toxicity,
+)
 from admitflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +73,8 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark, table(spark, sf_dir, "embeddings"))

@@ -1,25 +1,51 @@
-"""The corpus pipeline. Each stage is written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: each stage is written as Parquet and read again as the next one's documents."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from admitflow.llm import packing
+from admitflow.llm import mixing, neardup, packing, secrets, toxicity
 from admitflow.llm.common import stored, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the nearest labelled examples call toxic go."""
+    scored = toxicity.score(spark, docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group of near copies stays."""
+    return neardup.deduplicate(spark, docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: every reported span is replaced by a mark; no document goes."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: documents follow each other as the sources' weights ask; none goes."""
+    return mixing.interleave(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: every document's ids in sequences; the last stage."""
+    """Packing: every document's ids in sequences. A task packs a run of the mixed order, so sequences stay mixed."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near-dedup", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
     ("packing", pack),
 ]
 
-#: No stage but the first reads what SQL can express; tests hold each stage against brute force.
+#: SQL can express neither the scores nor the tokens; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
