@@ -6,6 +6,7 @@ import argparse
 import sys
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
 
 from admitflow import session
 from admitflow import vocabulary as V
@@ -15,9 +16,25 @@ from admitflow.plans.gates import DataQualityError
 from admitflow.sources import extracts
 
 
+def _missing(spark: SparkSession, folder: str) -> bool:
+    """Whether a source is not there; says which. Nothing is read yet."""
+    try:
+        for source in V.SOURCE_COLUMNS:
+            spark.read.text(f"{folder.rstrip('/')}/{source}.csv")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        print(error)
+        return True
+    return False
+
+
 def _run(args: argparse.Namespace) -> int:
+    spark = session.build()
+    if _missing(spark, args.source):
+        return 2
     try:
-        counts = Flow(session.build(), args.source, args.warehouse, args.output).run()
+        counts = Flow(spark, args.source, args.warehouse, args.output).run()
     except DataQualityError as error:
         print(error)
         return 1
@@ -28,13 +45,9 @@ def _run(args: argparse.Namespace) -> int:
 
 def _check(args: argparse.Namespace) -> int:
     spark = session.build()
-    try:
-        tables = report.Extracts.of(extracts.read_extracts(spark, args.dir))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        print(error)
+    if _missing(spark, args.dir):
         return 2
+    tables = report.Extracts.of(extracts.read_extracts(spark, args.dir))
     rows = report.report(tables).orderBy("check_name").collect()  # one row per rule
     failed = 0
     for row in rows:
@@ -62,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--output", required=True)
     run.set_defaults(action=_run)
     check = commands.add_parser("check", help="report on a folder of extracts")
-    check.add_argument("--dir", default="data/raw")
+    check.add_argument("--dir", required=True)
     check.set_defaults(action=_check)
     args = parser.parse_args(argv)
     return args.action(args)

@@ -10,14 +10,22 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
-def _starts_with_date(col: Column) -> Column:
-    """The text begins like yyyy-m-d. Spark would also read a bare year, or a bare time as a time of today."""
-    return (F.substring(col, 5, 1) == "-") & (F.length(col) >= 8)
+_DATE = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
+_NUMBER = r"^[+-]?(?:(?:\d+[.]?\d*|[.]\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))$"
+
+
+def _dated(col: Column) -> Column:
+    """Text that begins with year, month and day as Spark reads it, NULL for other text.
+
+    Spark would also read a bare year, or a bare time as a time of today.
+    """
+    text = F.trim(col)
+    return F.when(text.rlike(_DATE), F.regexp_replace(text, _DATE, "$1-$2-$3"))
 
 
 def strict_timestamp(col: Column) -> Column:
     """Text to a zone-less timestamp; unreadable text raises, an explicit offset is shifted to UTC."""
-    readable = F.when(_starts_with_date(col), col).otherwise(F.concat(F.lit("no date: "), col))
+    readable = F.coalesce(_dated(col), F.concat(F.lit("no date: "), col))
     return readable.cast("timestamp").cast("timestamp_ntz")
 
 
@@ -26,14 +34,19 @@ def strict_int(col: Column) -> Column:
 
 
 def lenient_timestamp(col: Column) -> Column:
-    """As ``strict_timestamp`` with NULL for unreadable text, decided row by row."""
-    return F.when(_starts_with_date(col), col).try_cast("timestamp").cast("timestamp_ntz")
+    """As ``strict_timestamp`` with NULL for unreadable text, decided row by row.
+
+    Eight digits are year, month and day; month/day/year is read as well.
+    """
+    digits = F.regexp_replace(F.trim(col), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    american = F.regexp_replace(digits, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$1-$2")
+    return _dated(american).try_cast("timestamp").cast("timestamp_ntz")
 
 
 def lenient_number(col: Column) -> Column:
-    """Text to a number; unreadable text and "NaN" are NULL."""
-    number = col.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Decimal text to a number; other text, "NaN" and the literals of programming languages are NULL."""
+    text = F.trim(col)
+    return F.when(text.rlike(_NUMBER), text).try_cast("double")
 
 
 def date_key(ts: Column) -> Column:

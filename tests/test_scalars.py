@@ -19,6 +19,9 @@ def on_text(spark, convert, text):
         ("2025-01-01T10:00:00+07:00", "2025-01-01 03:00:00"),
         ("2025-01-01 10:00:00.25", "2025-01-01 10:00:00.250000"),
         ("2025-01-01", "2025-01-01 00:00:00"),
+        ("2025/01/02 10:00:00", "2025-01-02 10:00:00"),
+        (" 2025-01-02 10:00:00", "2025-01-02 10:00:00"),
+        ("2025-1-2", "2025-01-02 00:00:00"),
         (None, None),
     ],
 )
@@ -42,6 +45,21 @@ def test_numbers(spark):
     assert [on_text(spark, X.lenient_number, t) for t in ("1.0", "1.5", "x", "NaN", None)] == [1.0, 1.5, None, None, None]
 
 
+@pytest.mark.parametrize("text, expected", [("20250102", "2025-01-02"), ("01/02/2025", "2025-01-02"), ("1/2/2025 10:00", "2025-01-02")])
+def test_other_dates_are_read_leniently(spark, text, expected):
+    assert str(on_text(spark, X.lenient_timestamp, text)).startswith(expected)
+
+
+@pytest.mark.parametrize("text", ["1d", "1f", "2D", "0x1p3", "1_0", "", " ", ".", "1e", "--1"])
+def test_what_is_no_number(spark, text):
+    assert on_text(spark, X.lenient_number, text) is None
+
+
+@pytest.mark.parametrize("text, expected", [(" 7 ", 7.0), ("-.5", -0.5), ("1e3", 1000.0), ("3.", 3.0)])
+def test_what_is_a_number(spark, text, expected):
+    assert on_text(spark, X.lenient_number, text) == expected
+
+
 def test_blank_to_null(spark):
     assert [on_text(spark, X.blank_to_null, t) for t in ("", " ", "a", None)] == [None, " ", "a", None]
 
@@ -72,6 +90,29 @@ def test_json(spark, text, expected):
     assert on_text(spark, lambda col: F.expr(P.is_json("t")), text) is expected
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("[" * 1200 + "]" * 1200, True), ("[" * 1200 + "]" * 1199, False), ('{"a":' * 1100 + "1" + "}" * 1100, True),
+        ('{"a":' * 1100 + "1" + "}" * 1099 + "]", False), ("9" * 1200, True), ("-1." + "0" * 1200 + "e5", True),
+        ("0" * 1200, False), ("1" * 1200 + ".", False), ('[{"k": [1, "x", null], "l": {}}, ' + "[" * 1200 + "]" * 1200 + "]", True),
+        ("[1 " + "[" * 1200 + "]" * 1200 + "]", False), ("[" * 1200 + '"a":1' + "]" * 1200, False),
+        ("[" * 1200 + "1,]" + "]" * 1199, False), ("[" * 1200 + "\\n" + "]" * 1200, False),
+        ("[" * 1200 + '"\\n\\u00e9"' + "]" * 1200, True), ("[" * 1200 + "\ue001" + "]" * 1200, False),
+        ("[" * 1200 + "truefalse" + "]" * 1200, False), ("[" * 1200 + '"a""b"' + "]" * 1200, False),
+        ("[" * 1200 + '{"a":1 "b":2}' + "]" * 1200, False), ("[" * 1200 + "{1:2}" + "]" * 1200, False),
+    ],
+)
+def test_json_beyond_the_parsers_limits(spark, text, expected):
+    assert on_text(spark, lambda col: F.expr(P.is_json("t")), text) is expected
+
+
+def test_json_with_a_very_long_string(spark):
+    long = spark.range(1).select(F.concat(F.lit('{"a": "'), F.repeat(F.lit("x"), 21_000_000), F.lit('"}')).alias("t"))
+    assert long.select(F.expr(P.is_json("t"))).first()[0] is True
+    assert long.select(F.concat("t", F.lit("x")).alias("t")).select(F.expr(P.is_json("t"))).first()[0] is False
+
+
 def test_shuffles_fit_the_input(spark):
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
