@@ -486,6 +486,14 @@ _JSON_VARIANTS = {
     "in_list": "'[' || props || ', null]'",
 }
 
+_JSON_LIMITS = {
+    "deep": "repeat('[', 1200) || '\"' || n_name || '\"' || repeat(']', 1200)",
+    "deep_open": "repeat('[', 1200) || '\"' || n_name || '\"' || repeat(']', 1199)",
+    "deep_objects": "repeat('{\"a\": ', 1200) || n_nationkey || repeat('}', 1200)",
+    "long_number": "(n_nationkey + 1) || repeat('7', 1200)",
+    "long_no_number": "(n_nationkey + 1) || repeat('7', 1200) || '.'",
+}
+
 ORACLE = {
     "staging_applicants": _sql("SELECT * FROM stg_applicants"),
     "staging_typed": _sql("SELECT * FROM stg_applications"),
@@ -591,6 +599,21 @@ WINDOW n AS (PARTITION BY application_id ORDER BY event_sequence, event_timestam
             for name, text in _JSON_VARIANTS.items()
         ]
     ),
+    "json_limits_check": _all(
+        *[
+            f"SELECT n_nationkey, '{name}' AS variant, json_valid({text}) AS valid FROM nation"
+            for name, text in _JSON_LIMITS.items()
+        ]
+    ),
+    "time_text_parse": (
+        "SELECT o_orderkey, date_trunc('second', o_orderdate) AS slashes,"
+        " CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS blanks, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS digits,"
+        " CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS month_first, CAST(NULL AS TIMESTAMP) AS year_only FROM orders"
+    ),
+    "number_text_parse": (
+        "SELECT o_orderkey, CAST(o_orderkey AS DOUBLE) AS blanks, CAST(o_orderkey || '.5e1' AS DOUBLE) AS exponent,"
+        " CAST(NULL AS DOUBLE) AS suffix_d, CAST(NULL AS DOUBLE) AS suffix_f, CAST(NULL AS DOUBLE) AS hex FROM orders"
+    ),
     "offending_sample": _sql(
         "SELECT event_id, application_id, event_outcome FROM read_text_events"
         f" WHERE {_unaccepted('event_outcome', V.EVENT_OUTCOMES)} ORDER BY event_id LIMIT 5"

@@ -336,11 +336,52 @@ def json_validity_check(s: StandIns) -> DataFrame:
         "closes_wrapper": "concat(props, '],[', props)",
         "in_list": "concat('[', props, ', null]')",
     }
-    made = [
-        s.table("events").selectExpr("event_id", f"'{name}' AS variant", f"{sql} AS text")
-        for name, sql in variants.items()
-    ]
-    return counting.union(made).selectExpr("event_id", "variant", f"{P.is_json('text')} AS valid")
+    made = ", ".join(f"struct('{name}' AS variant, {sql} AS text)" for name, sql in variants.items())
+    texts = s.table("events").selectExpr("event_id", f"inline(array({made}))")
+    return texts.selectExpr("event_id", "variant", f"{P.is_json('text')} AS valid")
+
+
+@query
+def json_limits_check(s: StandIns) -> DataFrame:
+    """Every nation as JSON beyond the parser's limits on depth and length, sound and with a fault."""
+    variants = {
+        "deep": "concat(repeat('[', 1200), '\"', n_name, '\"', repeat(']', 1200))",
+        "deep_open": "concat(repeat('[', 1200), '\"', n_name, '\"', repeat(']', 1199))",
+        "deep_objects": "concat(repeat('{\"a\": ', 1200), n_nationkey, repeat('}', 1200))",
+        "long_number": "concat(n_nationkey + 1, repeat('7', 1200))",
+        "long_no_number": "concat(n_nationkey + 1, repeat('7', 1200), '.')",
+    }
+    made = ", ".join(f"struct('{name}' AS variant, {sql} AS text)" for name, sql in variants.items())
+    texts = s.table("nation").selectExpr("n_nationkey", f"inline(array({made}))")
+    return texts.selectExpr("n_nationkey", "variant", f"{P.is_json('text')} AS valid")
+
+
+@query
+def time_text_parse(s: StandIns) -> DataFrame:
+    """Every order's date written in other ways and read again."""
+    date = F.col("o_orderdate")
+    return s.table("orders").select(
+        "o_orderkey",
+        X.strict_timestamp(F.date_format(date, "yyyy/MM/dd HH:mm:ss")).alias("slashes"),
+        X.strict_timestamp(F.concat(F.lit("  "), F.date_format(date, "yyyy-M-d"))).alias("blanks"),
+        X.lenient_timestamp(F.date_format(date, "yyyyMMdd")).alias("digits"),
+        X.lenient_timestamp(F.date_format(date, "MM/dd/yyyy")).alias("month_first"),
+        X.lenient_timestamp(F.date_format(date, "yyyy")).alias("year_only"),
+    )
+
+
+@query
+def number_text_parse(s: StandIns) -> DataFrame:
+    """Every order's key as text that is a number, and as text that only a programming language reads."""
+    key = F.col("o_orderkey").cast("string")
+    return s.table("orders").select(
+        "o_orderkey",
+        X.lenient_number(F.concat(F.lit(" "), key, F.lit(" "))).alias("blanks"),
+        X.lenient_number(F.concat(key, F.lit(".5e1"))).alias("exponent"),
+        X.lenient_number(F.concat(key, F.lit("d"))).alias("suffix_d"),
+        X.lenient_number(F.concat(key, F.lit("f"))).alias("suffix_f"),
+        X.lenient_number(F.concat(F.lit("0x"), key, F.lit("p1"))).alias("hex"),
+    )
 
 
 @query
