@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admitflow.llm.common import held_out
+from admitflow.llm.common import first_by_hash, held_out
 
 # Bounds of the learning sample: documents of each language, and the longest text that may be one.
 DOCS_PER_LANGUAGE = 150
@@ -202,12 +202,11 @@ def train(sample: list[tuple[str, str]], seed: int = 5) -> Model:
 
 def sample_rows(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most ``per_language`` learning rows of each language, chosen by a hash of the id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     usable = (
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ) & (F.char_length("text") <= LONGEST_SAMPLE)
     known = docs.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang").where(usable)
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    chosen = first_by_hash(known, "lang", per_language)
     return sorted((r.text, r.lang) for r in chosen.select("text", "lang").collect())
 
 

@@ -16,11 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from admitflow.llm.common import held_out
+from admitflow.llm.common import first_by_hash, held_out
 
 # Bounds of what is learnt: examples of each label, and terms. Both are parameters of fit().
 EXAMPLES_PER_LABEL = 3000
@@ -135,8 +135,6 @@ class Model:
 
 def _learning_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
     """(doc_id, text, toxic): at most ``per_label`` documents of each label, chosen by a hash of the id."""
-    from pyspark.sql import Window
-
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -144,10 +142,11 @@ def _learning_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFr
         .agg(F.max("toxic").alias("toxic"))
     )
     ranked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text") != "")
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     # Ids are ranked before any text is fetched; twice as many, as some ids may have no text.
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 2 * per_label).drop("place")
+    chosen = first_by_hash(known, "toxic", 2 * per_label)
     once = ranked.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    # 2 * per_label rows of a label at most, so one task may rank them.
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
 
 
