@@ -13,7 +13,9 @@ from admitflow import vocabulary as V
 from admitflow.plans import report
 from admitflow.plans.flow import Flow
 from admitflow.plans.gates import DataQualityError
-from admitflow.sources import extracts
+from admitflow.sources.tables import Layer
+
+_LINE_BREAKS = {"look": None, "yes": True, "no": False}
 
 
 def _missing(spark: SparkSession, folder: str) -> bool:
@@ -47,8 +49,14 @@ def _check(args: argparse.Namespace) -> int:
     spark = session.build()
     if _missing(spark, args.dir):
         return 2
-    tables = report.Extracts.of(extracts.read_extracts(spark, args.dir))
-    rows = report.report(tables).orderBy("check_name").collect()  # one row per rule
+    # Landed once; the rules and every list of offenders read the stored tables and the stored history.
+    layer = Layer(spark, args.warehouse or session.scratch_path(spark, "check"))
+    tables = report.Extracts.landed(layer, args.dir, _LINE_BREAKS[args.line_breaks])
+    history = layer.write("event_history", tables.history())
+    for row in report.figures(tables).collect():  # one row per source
+        span = f", {row['span_days']} days from {row['first_date']} to {row['last_date']}" if row["first_date"] else ""
+        print(f"{row['source']}: {row['row_count']} rows{span}")
+    rows = report.report(tables, history).orderBy("check_name").collect()  # one row per rule
     failed = 0
     for row in rows:
         print(f"[{row['status']}] {row['check_name']}: {row['bad_count']}")
@@ -58,7 +66,7 @@ def _check(args: argparse.Namespace) -> int:
         source, rule = row["check_name"].split(".")[0], row["check_name"].split(".")[-1]
         if rule in ("minimum", "span"):
             continue
-        bad = report.offending(tables, row["check_name"])
+        bad = report.offending(tables, row["check_name"], history)
         key = V.PRIMARY_KEYS[source] if V.PRIMARY_KEYS[source] in bad.columns else "application_id"
         for offender in report.sample(bad, key).collect():
             print(f"    {offender.asDict()}")
@@ -76,6 +84,10 @@ def main(argv: list[str] | None = None) -> int:
     run.set_defaults(action=_run)
     check = commands.add_parser("check", help="report on a folder of extracts")
     check.add_argument("--dir", required=True)
+    check.add_argument("--warehouse", help="folder for the landed tables; else one below the shared folder")
+    check.add_argument(
+        "--line-breaks", choices=_LINE_BREAKS, default="look", help="whether fields hold line breaks; 'look' reads first"
+    )
     check.set_defaults(action=_check)
     args = parser.parse_args(argv)
     return args.action(args)

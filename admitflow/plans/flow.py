@@ -35,7 +35,10 @@ STORED_HISTORY = [
 
 @dataclass(frozen=True)
 class Flow:
-    """One run over a folder of extracts. Each step stores its tables and the next one reads them."""
+    """One run over a folder of extracts. Each step stores its tables and the next one reads them.
+
+    A step may run in a session of its own: it prepares it and sizes its shuffles by what it reads.
+    """
 
     spark: SparkSession
     source_dir: str
@@ -47,8 +50,16 @@ class Flow:
     def layer(self, name: str) -> Layer:
         return Layer(self.spark, f"{self.warehouse_dir.rstrip('/')}/{name}")
 
+    def _reading(self, *names: str) -> list[Layer]:
+        """The layers a step reads, its session ready for them."""
+        session.prepare(self.spark)
+        layers = [self.layer(name) for name in names]
+        session.fit_shuffles(self.spark, session.STORED_RATIO * sum(layer.total_bytes() for layer in layers))
+        return layers
+
     def ingest_raw(self) -> dict[str, int]:
         """Copy the extracts as text; gives the rows per table."""
+        session.prepare(self.spark)
         raw = self.layer("raw")
         paths = extracts.extract_paths(self.source_dir)
         session.fit_shuffles(self.spark, extracts.total_bytes(self.spark, self.source_dir))
@@ -61,7 +72,8 @@ class Flow:
         return {source: raw.count(source) for source in V.SOURCE_COLUMNS}
 
     def build_staging(self) -> None:
-        raw, staged = self.layer("raw"), self.layer("staging")
+        (raw,) = self._reading("raw")
+        staged = self.layer("staging")
         staged.write_all(
             {t: partial(staging.stage, raw.read(source), source) for source, t in staging.STAGED_NAMES.items()}
         )
@@ -71,9 +83,11 @@ class Flow:
         return [self.layer("staging").read(table) for table in staging.STAGED_NAMES.values()]
 
     def check_staging(self) -> None:
+        self._reading("staging")
         gates.enforce(gates.staging_gate(*self._staged(), history=self.layer("staging").read("event_history")))
 
     def build_marts(self) -> None:
+        self._reading("staging")
         applicants, applications, events = self._staged()
         history = self.layer("staging").read("event_history")
         marts = self.layer("marts")
@@ -89,8 +103,8 @@ class Flow:
         )
 
     def check_marts(self) -> None:
+        marts, _ = self._reading("marts", "staging")
         _, applications, events = self._staged()
-        marts = self.layer("marts")
         gates.enforce(
             gates.marts_gate(
                 dim_date=marts.read("dim_date"),
@@ -106,7 +120,7 @@ class Flow:
 
     def export_outputs(self) -> dict[str, int]:
         """Write both outputs; gives the rows per output."""
-        marts = self.layer("marts")
+        (marts,) = self._reading("marts")
         # Small (days x channels x types) and read by both outputs.
         cube = marts.write(
             "outcome_cube",
@@ -121,7 +135,6 @@ class Flow:
 
     def run(self) -> dict[str, int]:
         """All steps in order; a violated gate raises ``DataQualityError`` and nothing later is written."""
-        session.prepare(self.spark)
         counts = self.ingest_raw()
         self.build_staging()
         self.check_staging()

@@ -6,15 +6,19 @@ Values are read leniently, so an unreadable time counts as missing instead of ra
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from admitflow import session
 from admitflow import vocabulary as V
 from admitflow.functions import predicates as P
 from admitflow.operators import counting
 from admitflow.plans import staging
 from admitflow.plans.history import event_history
+from admitflow.sources.extracts import extract_paths, read_csv, total_bytes
+from admitflow.sources.tables import Layer
 
 SAMPLE_ROWS = 5
 
@@ -31,6 +35,19 @@ class Extracts:
     def of(cls, raw: dict[str, DataFrame]) -> Extracts:
         return cls(*[staging.read_leniently(raw[source], source) for source in V.SOURCE_COLUMNS])
 
+    @classmethod
+    def landed(cls, layer: Layer, folder: str, line_breaks_in_fields: bool | None = None) -> Extracts:
+        """The extracts of a folder, read once and stored in ``layer``; no later step reads the CSV files again."""
+        spark = session.prepare(layer.spark)
+        session.fit_shuffles(spark, total_bytes(spark, folder))
+
+        def read(source: str, path: str) -> DataFrame:
+            return staging.read_leniently(read_csv(spark, path, line_breaks_in_fields), source)
+
+        paths = extract_paths(folder)
+        stored = layer.write_all({source: partial(read, source, path) for source, path in paths.items()})
+        return cls(*[stored[source] for source in V.SOURCE_COLUMNS])
+
     def table(self, source: str) -> DataFrame:
         return dict(zip(V.SOURCE_COLUMNS, (self.applicants, self.applications, self.events)))[source]
 
@@ -120,6 +137,24 @@ def volume_rules(
     )
 
 
+def figures(extracts: Extracts) -> DataFrame:
+    """(source, row_count, span_days, first_date, last_date): what the volume rules judge; no span where no time is."""
+    frames = []
+    for source in V.SOURCE_COLUMNS:
+        at = F.col("event_timestamp_read") if source == "onboarding_events" else F.lit(None).cast("timestamp")
+        counted = extracts.table(source).agg(F.count("*").alias("row_count"), F.min(at).alias("a"), F.max(at).alias("b"))
+        frames.append(
+            counted.select(
+                F.lit(source).alias("source"),
+                "row_count",
+                F.expr("timestampdiff(DAY, a, b)").alias("span_days"),
+                F.to_date("a").alias("first_date"),
+                F.to_date("b").alias("last_date"),
+            )
+        )
+    return counting.union(frames)
+
+
 REFERENCES = {
     "onboarding_applications.applicant_id.exists": ("onboarding_applications", "applicant_id", "applicants"),
     "onboarding_events.application_id.exists": (

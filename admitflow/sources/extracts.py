@@ -43,13 +43,6 @@ def read_csv(spark: SparkSession, path: str, line_breaks_in_fields: bool | None
     )
 
 
-def read_extracts(
-    spark: SparkSession, folder: str, line_breaks_in_fields: bool | None = None
-) -> dict[str, DataFrame]:
-    paths = extract_paths(folder)
-    return {source: read_csv(spark, path, line_breaks_in_fields) for source, path in paths.items()}
-
-
 def total_bytes(spark: SparkSession, folder: str) -> int:
     """Size of all sources, from the file listing; no content is read."""
     files = spark.read.format("binaryFile").load(list(extract_paths(folder).values()))

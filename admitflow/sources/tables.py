@@ -7,7 +7,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -38,13 +40,27 @@ class Layer:
         """Row count, taken from the Parquet footers."""
         return self.read(table).count()
 
+    def total_bytes(self) -> int:
+        """Size of all tables, from the file listing; 0 where nothing is stored yet."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        try:
+            listed = files.option("pathGlobFilter", "*.parquet").load(self.folder)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+        return listed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
-def export(df: DataFrame, path: str, single_file: bool = True) -> int:
+
+# What one task may write as one file.
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def export(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> int:
     """Write a sorted result as Parquet and count what can be read back.
 
-    One file suits results of a bounded size (days x channels x types); set ``single_file=False`` for others, whose
-    files then follow each other in sort order.
+    A result counted to have few rows is one file; the files of a larger one follow each other in sort order.
     """
-    result = df.coalesce(1) if single_file else df
+    result = df.coalesce(1) if df.count() <= single_file_rows else df
     result.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path).count()

@@ -1,8 +1,10 @@
 import pytest
 
 from admitflow import __main__ as command
-from admitflow.plans import flow
+from admitflow import session
+from admitflow.plans import flow, report
 from admitflow.plans.gates import DataQualityError
+from admitflow.sources.tables import Layer
 from tests.sample_process import Process
 
 
@@ -91,4 +93,46 @@ def test_check_command(spark, tmp_path, capsys):
     assert "[FAIL] onboarding_events.event_outcome.accepted: 1" in out
     assert "'event_id': 'E3'" in out
     assert "30 passed, 5 failed, 35 rules" in out
+    assert "applicants: 2 rows\n" in out
+    assert "onboarding_events: 10 rows, 1 days from 2025-01-01 to 2025-01-03" in out
+    assert command.main(["check", "--dir", folder, "--line-breaks", "yes", "--warehouse", str(tmp_path / "landed")]) == 1
+    assert (tmp_path / "landed" / "event_history").exists()
     assert command.main(["check", "--dir", str(tmp_path / "none")]) == 2
+
+
+def test_check_reads_the_files_once(spark, tmp_path):
+    folder = Process().write_csv(tmp_path / "raw")
+    layer = Layer(spark, str(tmp_path / "landed"))
+    landed = report.Extracts.landed(layer, folder)
+    history = layer.write("event_history", landed.history())
+    rules = [row["check_name"] for row in report.report(landed, history).collect()]
+    frames = [report.report(landed, history), report.figures(landed)]
+    frames += [report.offending(landed, r, history) for r in rules if r.split(".")[-1] not in ("minimum", "span")]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "FileScan csv" not in plan
+
+
+def test_steps_prepare_the_session(spark, tmp_path):
+    """Each step may run in a session that nobody prepared."""
+    whole = run(spark, tmp_path, Process())
+    steps = ("ingest_raw", "build_staging", "check_staging", "build_marts", "check_marts", "export_outputs")
+    for step in steps:
+        bare = spark.newSession()
+        for name in session.RUNTIME_CONF:
+            bare.conf.unset(name)
+        bare.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        bare.conf.set("spark.sql.ansi.enabled", "false")
+        bare.conf.set("spark.sql.shuffle.partitions", "2")
+        getattr(flow.Flow(bare, whole.source_dir, whole.warehouse_dir, whole.output_dir), step)()
+        assert {name: bare.conf.get(name) for name in session.RUNTIME_CONF} == session.RUNTIME_CONF
+    days = table(spark, tmp_path / "warehouse" / "marts" / "dim_date", "date_key")
+    assert sorted(days) == [(20250101,), (20250102,), (20250103,)]
+
+
+def test_stored_bytes(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path / "tables"))
+    assert layer.total_bytes() == 0
+    layer.write_all({"a": lambda: spark.range(3), "b": lambda: spark.range(4)})
+    files = (tmp_path / "tables").rglob("*.parquet")
+    assert layer.total_bytes() == sum(f.stat().st_size for f in files if f.is_file()) > 0

@@ -71,5 +71,11 @@ def test_export_keeps_the_order_in_one_file(spark, tmp_path):
     assert [r["id"] for r in spark.read.parquet(path).take(3)] == [999, 998, 997]
 
 
+def test_export_of_a_large_result_keeps_its_files(spark, tmp_path):
+    path = str(tmp_path / "out.parquet")
+    assert export(spark.range(1000, numPartitions=4).repartitionByRange(4, "id"), path, single_file_rows=999) == 1000
+    assert len(list((tmp_path / "out.parquet").glob("*.parquet"))) > 1
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -309,6 +309,11 @@ _ORDERED = {
     "onboarding_applications.milestones.ordered": "submitted_at_read < started_at_read"
     " OR completed_at_read < submitted_at_read OR (submitted_at_read IS NULL AND completed_at_read < started_at_read)"
 }
+_RAW = {
+    "applicants": "raw_applicants",
+    "onboarding_applications": "raw_applications",
+    "onboarding_events": "raw_events",
+}
 _READ = {
     "applicants": "raw_applicants",
     "onboarding_applications": "read_applications",
@@ -505,6 +510,18 @@ ORACLE = {
     "csv_ingest": _sql(
         "SELECT " + ", ".join(f"{_filled(c)} AS {c}" for c in V.SOURCE_COLUMNS["onboarding_events"]) + " FROM raw_events"
     ),
+    "ingest_counts": _sql(
+        _all(*[f"SELECT '{source}' AS source, count(*) AS row_count FROM {raw}" for source, raw in _RAW.items()])
+    ),
+    "report_figures": _sql(
+        _all(
+            "SELECT 'applicants' AS source, count(*) AS row_count, CAST(NULL AS BIGINT) AS span_days,"
+            " CAST(NULL AS DATE) AS first_date, CAST(NULL AS DATE) AS last_date FROM raw_applicants",
+            "SELECT 'onboarding_applications', count(*), NULL, NULL, NULL FROM raw_applications",
+            "SELECT 'onboarding_events', count(*), date_sub('day', min(event_timestamp), max(event_timestamp)),"
+            " CAST(min(event_timestamp) AS DATE), CAST(max(event_timestamp) AS DATE) FROM read_events",
+        )
+    ),
     "parquet_export": _sql(_FUNNEL),
     "calendar_dim": _sql("SELECT * FROM ship_date"),
     "channel_dim": _sql("SELECT * FROM dim_channel"),

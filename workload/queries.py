@@ -65,6 +65,28 @@ def csv_ingest(s: StandIns) -> DataFrame:
     return extracts.read_csv(s.spark, path)
 
 
+@query
+def ingest_counts(s: StandIns) -> DataFrame:
+    """The rows per table after the ingest of all three sources, counted in the stored tables."""
+    source, warehouse = (session.scratch_path(s.spark, name) for name in ("extracts", "warehouse"))
+    for name, raw in s.raw().items():
+        raw.write.option("header", True).option("escape", '"').csv(f"{source}/{name}.csv")
+    ingested = flow.Flow(s.spark, source, warehouse, warehouse)
+    ingested.ingest_raw()
+    return counting.union(
+        [
+            ingested.layer("raw").read(name).agg(F.lit(name).alias("source"), F.count("*").alias("row_count"))
+            for name in V.SOURCE_COLUMNS
+        ]
+    )
+
+
+@query
+def report_figures(s: StandIns) -> DataFrame:
+    """Rows, span and dates of the untidy raw tables."""
+    return report.figures(_stored_extracts(s))
+
+
 @query
 def parquet_export(s: StandIns) -> DataFrame:
     path = session.scratch_path(s.spark, "funnel")
