@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from admitflow import session
 
-# Rows one task may number on its own; more for tables that would need more than MAX_PIECES tasks.
+# Rows one task may number on its own, however large the table is.
 PIECE_ROWS = 1_000_000
 PIECE_ROWS_CONF = "spark.admitflow.keyPieceRows"
-MAX_PIECES = 10_000
+# Pieces whose offsets (16 bytes each) may be broadcast.
+BROADCAST_PIECES = 100_000
 
 _POSITION_BITS = (1 << 33) - 1
 
@@ -25,8 +26,7 @@ def add_dense_key(df: DataFrame, key: str, by: str) -> DataFrame:
     """
     spark = df.sparkSession
     rows = df.count()
-    piece_rows = max(int(spark.conf.get(PIECE_ROWS_CONF, str(PIECE_ROWS))), math.ceil(rows / MAX_PIECES))
-    pieces = math.ceil(rows / piece_rows)
+    pieces = math.ceil(rows / int(spark.conf.get(PIECE_ROWS_CONF, str(PIECE_ROWS))))
     if pieces <= 1:
         number = F.row_number().over(Window.orderBy(F.col(by).asc_nulls_last())).cast("bigint")
         return df.select(number.alias(key), *df.columns)
@@ -43,7 +43,7 @@ def add_dense_key(df: DataFrame, key: str, by: str) -> DataFrame:
         )
         .checkpoint()  # the borders come from a sample: both reads below need the same ones
     )
-    # One row per piece, MAX_PIECES at most.
+    # One row per piece.
     earlier = F.sum("n").over(Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
         placed.groupBy("__piece")
@@ -51,4 +51,6 @@ def add_dense_key(df: DataFrame, key: str, by: str) -> DataFrame:
         .select("__piece", F.coalesce(earlier, F.lit(0)).alias("__offset"))
     )
     number = F.col("__offset") + F.col("__place") + 1
-    return placed.join(F.broadcast(offsets), "__piece").select(number.alias(key), *df.columns)
+    if pieces <= BROADCAST_PIECES:
+        offsets = F.broadcast(offsets)
+    return placed.join(offsets, "__piece").select(number.alias(key), *df.columns)

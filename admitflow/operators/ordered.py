@@ -12,6 +12,8 @@ from admitflow.operators.skew import Split
 
 _ROW = "__row"
 _PIECE = "__piece"
+# Rows of a key and a few values that may be broadcast.
+BROADCAST_STARTS = 100_000
 
 
 def _ascending(order: list[str]) -> list[Column]:
@@ -65,14 +67,16 @@ def _in_pieces(split: Split, order: list[str], values: dict[str, str]) -> DataFr
         *[F.lag(source).over(spec).alias(f"__in_{name}") for name, source in values.items()],
     )
 
-    # One row per key and piece: at most pieces + hot keys, both of which the split bounds.
+    # One row per key and piece: at most pieces + hot keys, which the split has counted.
     last = F.max(F.struct(*_rank(full_order), *[F.col(s).alias(f"__v_{n}") for n, s in values.items()]))
     ends = pieces.groupBy(key, _PIECE).agg(last.alias("__last"))
     before = F.lag("__last").over(Window.partitionBy(key).orderBy(_PIECE))
     starts = ends.select(F.col(key).alias("__key"), F.col(_PIECE).alias("__at"), before.alias("__before"))
 
+    if split.pieces + len(split.hot_keys) <= BROADCAST_STARTS:
+        starts = F.broadcast(starts)
     joined = inside.join(
-        F.broadcast(starts), F.col(key).eqNullSafe(F.col("__key")) & (F.col(_PIECE) == F.col("__at")), "left"
+        starts, F.col(key).eqNullSafe(F.col("__key")) & (F.col(_PIECE) == F.col("__at")), "left"
     )
     kept = [c for c in numbered.columns if c != _ROW]
     return joined.select(

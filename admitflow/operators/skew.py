@@ -9,13 +9,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is worked on in pieces; for very large tables the limit grows with the table, so that
-# there are never more than MAX_PIECES pieces and hot keys.
+# A key with more rows than this is worked on in pieces of about as many rows, however large the table is.
 HOT_ROWS = 5_000_000
 HOT_ROWS_CONF = "spark.admitflow.hotKeyRows"
-MAX_PIECES = 10_000
-# A sketch of this size finds every key with more than about rows / 15,000 rows, whatever the number of keys.
+# A frequent-item sketch over n entries is off by 3.5 / n of all rows at most: here by rows / 5,714. For tables of up to
+# 4,000 times the limit that is 0.7 of the limit, so every key above 1.7 of it is found. Larger tables are counted by key.
 SKETCH_ITEMS = 20_000
+SKETCHED_LIMITS = 4_000
 
 
 @dataclass(frozen=True)
@@ -50,15 +50,20 @@ def split(df: DataFrame, key: str) -> Split:
     """Separate the hot keys of ``df``.
 
     A table that has fewer rows than a hot key needs no closer look (for stored tables that count comes from the
-    Parquet footers). Otherwise one pass over the key column fills a frequent-item sketch of fixed size; the keys
-    above the limit, MAX_PIECES at most by arithmetic, come back to the driver.
+    Parquet footers). Otherwise one pass over the key column fills a frequent-item sketch of fixed size, or, where that
+    would be too coarse, counts the rows by key. The hot keys come back to the driver: one for each ``HOT_ROWS`` rows of
+    the table at most, by arithmetic.
     """
     rows = df.count()
-    limit = max(int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS))), rows // MAX_PIECES)
+    limit = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
     if rows <= limit:
         return Split(key, df)
-    frequent = f"filter(approx_top_k(`{key}`, {MAX_PIECES}, {SKETCH_ITEMS}), item -> item.count > {limit}L)"
-    found = df.agg(F.expr(frequent).alias("items")).first()["items"]
+    if rows <= SKETCHED_LIMITS * limit:
+        frequent = f"filter(approx_top_k(`{key}`, {SKETCH_ITEMS // 2}, {SKETCH_ITEMS}), item -> item.count > {limit}L)"
+        found = df.agg(F.expr(frequent).alias("items")).first()["items"]
+    else:
+        sizes = df.groupBy(F.col(key).alias("item")).agg(F.count("*").alias("count"))
+        found = sizes.filter(F.col("count") > limit).collect()
     if not found:
         return Split(key, df)
     keys = tuple(entry["item"] for entry in found)

@@ -43,8 +43,10 @@ def event_fact(events: DataFrame, dim_application: DataFrame, dim_channel: DataF
     # The window already distributes ordinary applications by id: the lookup adds no shuffle of events.
     located = split.cold.join(applications, match, "left")
     if split.hot is not None:
-        few = applications.filter(split.holds_hot_key(F.col("__application_id")))  # one row per hot key
-        located = located.unionByName(split.hot.join(F.broadcast(few), match, "left"))
+        few = applications.filter(split.holds_hot_key(F.col("__application_id")))
+        # One row per hot key where ids are unique; counted, as nothing here ensures that.
+        few = F.broadcast(few) if few.count() <= BROADCAST_CODES else few
+        located = located.unionByName(split.hot.join(few, match, "left"))
 
     channels = _codes(dim_channel)
     gap = X.seconds_between(F.col("__previous"), F.col("event_timestamp"))

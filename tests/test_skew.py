@@ -50,10 +50,33 @@ def test_split_finds_exactly_the_hot_keys(spark, log, limits):
     assert parts.pieces >= 4
 
 
-def test_limit_grows_with_the_table(spark, log, monkeypatch, limits):
-    limits(hot_rows=1)
-    monkeypatch.setattr(skew, "MAX_PIECES", 3)
-    assert skew.split(log, "k").pieces <= 3
+@pytest.mark.parametrize("times", [1, 2, 8])
+def test_work_per_piece_stays_as_the_table_grows(log, limits, times):
+    limits(hot_rows=400)
+    larger = log.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times))))
+    parts = skew.split(larger, "k")
+    assert parts.hot.count() / parts.pieces <= 400
+    assert parts.cold.groupBy("k").count().filter("count > 400").isEmpty()
+
+
+def test_keys_are_counted_where_a_sketch_is_too_coarse(log, limits, monkeypatch):
+    limits(hot_rows=400)
+    sketched = skew.split(log, "k")
+    monkeypatch.setattr(skew, "SKETCHED_LIMITS", 1)
+    counted = skew.split(log, "k")
+    assert set(counted.hot_keys) == set(sketched.hot_keys) and counted.pieces == sketched.pieces
+    assert rows(counted.hot) == rows(sketched.hot)
+
+
+def test_lookups_too_large_to_broadcast(spark, log, limits, monkeypatch):
+    order, values = ["n", "v"], {"previous_n": "n"}
+    limits(hot_rows=150, piece_rows=100)
+    numbered = log.select("n").distinct()
+    before = rows(ordered.with_previous(skew.split(log, "k"), order, values).union()), rows(keys.add_dense_key(numbered, "i", "n"))
+    monkeypatch.setattr(ordered, "BROADCAST_STARTS", 0)
+    monkeypatch.setattr(keys, "BROADCAST_PIECES", 0)
+    after = rows(ordered.with_previous(skew.split(log, "k"), order, values).union()), rows(keys.add_dense_key(numbered, "i", "n"))
+    assert before == after
 
 
 def test_previous_value_in_pieces_equals_one_window(log, limits):

@@ -112,6 +112,7 @@ _PARTS = {
     "untidy_events": for_oracle(S.UNTIDY_EVENTS),
     "clicks": for_oracle(S.CLICKS),
     "lines": for_oracle(S.LINES),
+    "skewed_lines": for_oracle(S.SKEWED_LINES),
     "stg_applicants": "SELECT "
     + _cast(
         "applicants",
@@ -164,6 +165,9 @@ _PARTS = {
     "dim_date": _calendar("stg_events", "event_timestamp"),
     "ship_date": _calendar("lineitem", "l_shipdate"),
     "events_fact": _event_fact("stg_events", "dim_channel"),
+    "skewed_channel": _channels("skewed_lines"),
+    "skewed_fact": _event_fact("skewed_lines", "skewed_channel"),
+    "skewed_neighbours": _neighbours("skewed_lines"),
     "clicks_fact": _event_fact("clicks", "click_channel"),
     "snapshot": _snapshot("stg_events", "dim_channel"),
     "lines_snapshot": _snapshot("lines", "line_channel"),
@@ -528,6 +532,9 @@ ORACLE = {
     "applicant_dim": _sql("SELECT * FROM dim_applicant"),
     "application_dim": _sql("SELECT * FROM dim_application"),
     "event_fact": _sql("SELECT * FROM events_fact"),
+    "event_fact_in_pieces": _sql("SELECT * FROM skewed_fact"),
+    "application_dim_in_pieces": _sql("SELECT * FROM dim_application"),
+    "event_history_in_pieces": _sql(_counts("skewed_neighbours", _HISTORY)),
     "event_fact_gap": _sql("SELECT * FROM clicks_fact"),
     "application_snapshot": _sql("SELECT * FROM snapshot"),
     "order_line_snapshot": _sql("SELECT * FROM lines_snapshot"),

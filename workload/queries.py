@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from admitflow import session
 from admitflow import vocabulary as V
 from admitflow.functions import predicates as P
 from admitflow.functions import scalars as X
-from admitflow.operators import counting, ordered, skew
+from admitflow.operators import counting, keys, ordered, skew
 from admitflow.plans import dimensions, facts, flow, gates, outcomes, report
 from admitflow.plans.history import event_history
 from admitflow.sources import extracts
@@ -148,6 +149,39 @@ def event_fact(s: StandIns) -> DataFrame:
     return _event_fact(s, s.events)
 
 
+@contextmanager
+def _small_limits(df: DataFrame, parts: int = 20) -> Iterator[DataFrame]:
+    """Limits at which ``df`` takes the paths of large tables. The operators read them while a plan is built."""
+    conf, limit = df.sparkSession.conf, str(max(df.count() // parts, 1))
+    for name in (skew.HOT_ROWS_CONF, keys.PIECE_ROWS_CONF):
+        conf.set(name, limit)
+    try:
+        yield df
+    finally:
+        for name in (skew.HOT_ROWS_CONF, keys.PIECE_ROWS_CONF):
+            conf.unset(name)
+
+
+@query
+def event_fact_in_pieces(s: StandIns) -> DataFrame:
+    """The event fact with a hot application and many events without one; dimensions numbered in pieces."""
+    with _small_limits(store(s.skewed_lines, "skewed_lines")) as lines:
+        return _event_fact(s, lines)
+
+
+@query
+def application_dim_in_pieces(s: StandIns) -> DataFrame:
+    with _small_limits(store(s.applications, "applications")) as applications:
+        return dimensions.applications(applications)
+
+
+@query
+def event_history_in_pieces(s: StandIns) -> DataFrame:
+    """Order faults where an application and the missing application are hot."""
+    with _small_limits(store(s.skewed_lines, "skewed_lines")) as lines:
+        return gates.history_faults(event_history(lines))
+
+
 @query
 def event_fact_gap(s: StandIns) -> DataFrame:
     """Gaps in the driver's event stream; its users are no applications, so every lookup falls back to -1."""

@@ -199,6 +199,12 @@ SELECT concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS
 FROM @lineitem
 """
 
+# One application with a seventh of all lines, and as many lines without any.
+SKEWED_LINES = LINES.replace(
+    "concat('P', l_orderkey)",
+    "CASE l_suppkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'P1' ELSE concat('P', l_orderkey) END",
+)
+
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 
 
@@ -262,6 +268,10 @@ class StandIns:
     def lines(self) -> DataFrame:
         return self.sql(LINES)
 
+    @cached_property
+    def skewed_lines(self) -> DataFrame:
+        return self.sql(SKEWED_LINES)
+
     @cached_property
     def extracts(self) -> report.Extracts:
         return report.Extracts.of(self.raw(untidy=True))
