@@ -36,14 +36,15 @@ def sized_partitions(df: DataFrame, rows: int, rows_per_task: int) -> int:
 
 
 # Parts that the range of hashes is counted in: 2 to this power.
-_HASH_PARTS_POWER = 16
+_HASH_PARTS_POWER = 12
 
 
 def first_by_hash(rows: DataFrame, by: str, most: int) -> DataFrame:
     """Of each value of ``by`` the ``most`` rows whose doc_id has the smallest hash; all, if there are fewer.
 
     The hashes are counted by part of their range first. Only the parts that hold the smallest go to the window, so its
-    task for a frequent value reads little more than ``most`` rows, however many there are.
+    task for a frequent value reads little more than ``most`` rows, however many there are. ``by`` holds the classes of
+    a model, so its values are few: one row for each is broadcast.
     """
     order = F.xxhash64("doc_id")
     part = F.shiftright(order, 64 - _HASH_PARTS_POWER)
@@ -51,6 +52,6 @@ def first_by_hash(rows: DataFrame, by: str, most: int) -> DataFrame:
     before = Window.partitionBy("__by").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     needed = parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < most)
     last = needed.groupBy("__by").agg(F.max("__part").alias("__last"))
-    near = rows.join(last, F.col(by) == F.col("__by")).where(part <= F.col("__last")).select(*rows.columns)
+    near = rows.join(F.broadcast(last), F.col(by) == F.col("__by")).where(part <= F.col("__last")).select(*rows.columns)
     place = F.row_number().over(Window.partitionBy(by).orderBy(order, "doc_id"))
     return near.withColumn("__place", place).where(F.col("__place") <= most).drop("__place")
