@@ -1,7 +1,9 @@
 """Toxicity by the nearest labelled examples.
 
-A document is compared with labelled examples by the exact cosine of TF-IDF vectors. The terms are words and word stems
-(leading characters) that the learning rows tie to the label; their document frequencies are counted over all documents.
+A document is compared with labelled examples by the exact cosine of TF-IDF vectors over all words and word stems
+(leading characters). Document frequencies are counted over all documents; a term weighs the more, the more the learning
+rows tie it to one label, but none is left out. What no example has counts in the document's length alone, its
+frequency taken from hashed classes.
 The examples lie in an inverted index of blocks: for each term and block the largest weight bounds what any example of
 the block can reach, so blocks that cannot enter the nearest few are never scored. The nearest examples vote, nearer
 ones more; the vote is turned into a probability by the vote that the learning rows get when each is left out.
@@ -10,6 +12,7 @@ ones more; the vote is turned into a probability by the vote that the learning r
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,14 +25,10 @@ from pyspark.sql import types as T
 
 from admitflow.llm.common import first_by_hash, held_out
 
-# Bounds of what is learnt: examples of each label, and terms. Both are parameters of fit().
+# Bound of what is learnt: examples of each label, a parameter of fit().
 EXAMPLES_PER_LABEL = 3000
-MAX_TERMS = 1024
-# A term is kept if at least so many examples of the label have it, it is so many times likelier there, and its
-# log-likelihood against chance is so large (about one chance term in thousands).
-LEAST_DOCUMENTS = 4
-LEAST_LIFT = 5.0
-LEAST_EVIDENCE = 8.4
+# Classes that the frequencies of terms without example are counted in.
+CLASSES = 1 << 18
 STEM_LENGTHS = (4, 5, 6)
 NEAREST = 15
 BLOCK = 64
@@ -45,12 +44,11 @@ def stems(word: str) -> list[str]:
     return [word + ".", *(word[:n] for n in STEM_LENGTHS if len(word) > n)]
 
 
-def words_of(text: str) -> set[str]:
-    return {w for token in set(text.lower().split()) for w in _WORD.findall(token)}
-
-
 class Terms(dict):
-    """Numbers of the terms in a white-space token, remembered per token up to a bound."""
+    """Numbers of the terms in a white-space token, remembered per token up to a bound.
+
+    Terms that no example has get the number of their class, after all others.
+    """
 
     def __init__(self, numbers: dict[str, int]):
         super().__init__()
@@ -58,7 +56,11 @@ class Terms(dict):
 
     def __missing__(self, token: str) -> tuple[int, ...]:
         numbers = self._numbers
-        found = tuple(numbers[s] for w in _WORD.findall(token) for s in stems(w) if s in numbers)
+        found = tuple(
+            numbers[s] if s in numbers else len(numbers) + zlib.crc32(s.encode()) % CLASSES
+            for w in _WORD.findall(token)
+            for s in stems(w)
+        )
         if len(self) >= 300_000:
             self.clear()
         self[token] = found
@@ -73,52 +75,99 @@ class Terms(dict):
         return counts
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers from each start up to its end, one range after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 @dataclass
 class Index:
-    """The examples' unit vectors in blocks, and the largest weight of each term in each block."""
-
-    weights: np.ndarray  # examples x terms
-    largest: np.ndarray  # terms x blocks
+    """Postings by term and block of examples, and the largest weight of each term in each block."""
+
+    first: np.ndarray  # of each term: its first run, a run being its postings in one block
+    block: np.ndarray  # of each run
+    largest: np.ndarray
+    start: np.ndarray  # of each run: its first posting
+    row: np.ndarray  # of each posting
+    weight: np.ndarray
     toxic: np.ndarray
     ids: np.ndarray
 
     @classmethod
     def build(cls, vectors: np.ndarray, toxic: np.ndarray, ids: np.ndarray) -> Index:
+        rows, terms = np.nonzero(vectors)
+        return cls.post(rows, terms, vectors[rows, terms], vectors.shape[1], toxic, ids)
+
+    @classmethod
+    def post(cls, rows, terms, weights, n_terms: int, toxic: np.ndarray, ids: np.ndarray) -> Index:
         # Examples with the same strongest term lie together, so that a block's bounds are tight.
-        order = np.lexsort((ids, vectors.argmax(axis=1) if vectors.size else ids))
-        vectors, toxic, ids = vectors[order], toxic[order], ids[order]
-        starts = np.arange(0, len(vectors), BLOCK)
-        largest = np.maximum.reduceat(vectors, starts, axis=0).T if len(starts) else np.zeros((vectors.shape[1], 0))
-        return cls(vectors, np.ascontiguousarray(largest), toxic, ids)
+        strongest = np.full(len(ids), -1)
+        rising = np.argsort(weights, kind="stable")
+        strongest[rows[rising]] = terms[rising]
+        order = np.lexsort((ids, strongest))
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        rows = place[rows]
+        order_of_postings = np.lexsort((rows, terms))
+        rows, terms, weights = rows[order_of_postings], terms[order_of_postings], weights[order_of_postings]
+        blocks = rows // BLOCK
+        opens = np.ones(len(rows), bool)
+        opens[1:] = (np.diff(terms) != 0) | (np.diff(blocks) != 0)
+        start = np.flatnonzero(opens)
+        largest = np.maximum.reduceat(weights, start) if len(start) else np.empty(0)
+        first = np.searchsorted(terms[start], np.arange(n_terms + 1))
+        ends = np.append(start, len(rows))
+        return cls(first, blocks[start], largest, ends, rows.astype(np.int32), weights, toxic[order], ids[order])
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples that share a term; ties go to the smaller id."""
-        bounds = values @ self.largest[terms]
+        runs = _ranges(self.first[terms], self.first[terms + 1])
+        value = np.repeat(values, self.first[terms + 1] - self.first[terms])
+        blocks = self.block[runs]
+        bounds = np.bincount(blocks, self.largest[runs] * value, len(self.ids) // BLOCK + 1)
         best_rows, best = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1] - 1e-9:
-                break
-            rows = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.weights)))
-            cosines = self.weights[rows][:, terms] @ values
-            keep = (cosines > 0) & (rows != skip)
-            best_rows, best = np.concatenate([best_rows, rows[keep]]), np.concatenate([best, cosines[keep]])
+        # The two blocks that promise most set the bar for all others.
+        leading = np.zeros(len(bounds), bool)
+        leading[np.argsort(-bounds, kind="stable")[:2]] = True
+        for wanted in (leading, ~leading):
+            wanted = wanted & (bounds > 0)
+            if len(best) == k:
+                wanted &= bounds >= best[-1] - 1e-9
+            chosen = wanted[blocks]
+            starts, ends = self.start[runs[chosen]], self.start[runs[chosen] + 1]
+            at = _ranges(starts, ends)
+            cosines = np.bincount(self.row[at], self.weight[at] * np.repeat(value[chosen], ends - starts), len(self.ids))
+            rows = np.flatnonzero(cosines > 0)
+            if len(rows) > 4 * k:
+                rows = rows[cosines[rows] >= np.partition(cosines[rows], -k - 1)[-k - 1] - 1e-9]
+            rows = rows[rows != skip]
+            best_rows, best = np.concatenate([best_rows, rows]), np.concatenate([best, cosines[rows]])
             order = np.lexsort((self.ids[best_rows], -best.round(12)))[:k]
             best_rows, best = best_rows[order], best[order]
         return best_rows, best
 
 
+def _arrays(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(counts.keys(), np.int32, len(counts)), np.fromiter(counts.values(), np.int32, len(counts))
+
+
 @dataclass
 class Model:
     numbers: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray  # of each term, then of each class
     index: Index
     votes: np.ndarray  # calibration: votes in rising order
     chances: np.ndarray  # and the chance of the label at each
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(counts.keys(), np.int64, len(counts))
-        values = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[terms]
-        return terms, values / np.sqrt((values * values).sum())
+        """Terms that examples have and their parts of the unit vector of all terms."""
+        return self.part(*_arrays(counts))
+
+    def part(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values = (1 + np.log(times)) * self.weight[terms]
+        known = terms < len(self.numbers)
+        return terms[known], values[known] / np.sqrt((values * values).sum())
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         weights = cosines / (1.1 - np.minimum(cosines, 1.0))
@@ -150,33 +199,26 @@ def _learning_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFr
     return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
 
 
-def _choose_terms(rows: list, max_terms: int) -> list[str]:
-    """Terms that mark the label: frequent enough and several times likelier, the strongest first."""
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    size = {0: 0, 1: 0}
-    for row in rows:
-        size[row.toxic] += 1
-        seen[row.toxic].update({s for w in words_of(row.text) for s in stems(w)})
-    strength = {}
-    share = size[1] / max(size[0] + size[1], 1)
-    for term, n in seen[1].items():
-        other = seen[0][term]
-        lift = (n / max(size[1], 1)) / ((other + 0.5) / (size[0] + 1))
-        if n >= LEAST_DOCUMENTS and lift >= LEAST_LIFT:
-            evidence = n * np.log(n / (n + other) / share)
-            if other:
-                evidence += other * np.log(other / (n + other) / (1 - share))
-            if evidence >= LEAST_EVIDENCE:
-                strength[term] = evidence
-    return sorted(strength, key=lambda t: (-strength[t], t))[:max_terms]
+def _evidence(terms: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.ndarray:
+    """How much each term tells the labels apart in the learning rows: log-likelihood against chance."""
+    seen = np.zeros((2, n_terms))
+    for found, label in zip(terms, toxic.astype(int)):
+        seen[label, found] += 1
+    both = np.maximum(seen.sum(axis=0), 1)
+    evidence = np.zeros(n_terms)
+    for label in (0, 1):
+        share = max((toxic == label).mean(), 1e-9) if len(toxic) else 1.0
+        some = seen[label] > 0
+        evidence[some] += seen[label, some] * np.log(seen[label, some] / both[some] / share)
+    return np.maximum(evidence, 0)
 
 
 def _document_frequencies(docs: DataFrame, numbers: dict[str, int]) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those with each term, over all documents."""
+    """Number of documents, and of those with each term or class, over all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, found, rows = Terms(shared.value), np.zeros(len(shared.value) + 1, np.int64), 0
+        terms, found, rows = Terms(shared.value), np.zeros(len(shared.value) + CLASSES + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 rows += 1
@@ -187,9 +229,9 @@ def _document_frequencies(docs: DataFrame, numbers: dict[str, int]) -> tuple[int
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], ["term", "n"])
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "term long, n long")
-    frequency = np.zeros(len(numbers) + 1)
-    for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():  # a row per term at most
-        frequency[row.term] = row.n
+    frequency = np.zeros(len(numbers) + CLASSES + 1)
+    summed = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row per term or class at most
+    frequency[summed.column("term").to_numpy()] = summed.column("n").to_numpy()
     return int(frequency[-1]), frequency[:-1]
 
 
@@ -214,29 +256,35 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     per_label: int = EXAMPLES_PER_LABEL,
-    max_terms: int = MAX_TERMS,
 ) -> Model:
     """Learn from at most ``per_label`` labelled documents of each label that are not held out."""
     rows = _learning_rows(docs, labels, per_label).collect()
     rows.sort(key=lambda r: (r.doc_id, r.toxic))
-    numbers = {term: i for i, term in enumerate(_choose_terms(rows, max_terms))}
+    numbers: dict[str, int] = {}
+    for row in rows:
+        for token in set(row.text.lower().split()):
+            for word in _WORD.findall(token):
+                for term in stems(word):
+                    numbers.setdefault(term, len(numbers))
     total, frequency = _document_frequencies(docs, numbers)
-    idf = np.log((1 + total) / (1 + frequency)) + 1
-    model = Model(numbers, idf, None, np.zeros(1), np.zeros(1))
     terms = Terms(numbers)
-    counts = [terms.of(r.text) for r in rows]
-    toxic = np.array([r.toxic for r in rows], float)
-    kept = [i for i, c in enumerate(counts) if c]
-    vectors = np.zeros((len(kept), len(numbers)))
-    for place, i in enumerate(kept):
-        at, values = model.vector(counts[i])
-        vectors[place, at] = values
-    model.index = Index.build(vectors, toxic[kept], np.array([rows[i].doc_id for i in kept], np.int64))
-    if rows:
+    # Arrays instead of counters, and no texts: what the driver holds per example stays small.
+    counts = [_arrays(terms.of(r.text)) for r in rows]
+    toxic, doc_ids = np.array([r.toxic for r in rows], float), np.array([r.doc_id for r in rows], np.int64)
+    del rows, terms
+    weight = np.log((1 + total) / (1 + frequency)) + 1
+    weight[: len(numbers)] *= 1 + _evidence([c[0] for c in counts], toxic, len(numbers))
+    model = Model(numbers, weight, None, np.zeros(1), np.zeros(1))
+    kept = [i for i, c in enumerate(counts) if len(c[0])]
+    vectors = [model.part(*counts[i]) for i in kept]
+    at = np.repeat(np.arange(len(kept)), [len(v[0]) for v in vectors])
+    held = [np.concatenate([np.empty(0, t), *(v[k] for v in vectors)]) for k, t in ((0, np.int64), (1, float))]
+    model.index = Index.post(at, *held, len(numbers), toxic[kept], doc_ids[kept])
+    if len(toxic):
         place_of = {doc_id: k for k, doc_id in enumerate(model.index.ids.tolist())}
-        votes = np.zeros(len(rows))
-        for i in kept:
-            near = model.index.nearest(*model.vector(counts[i]), NEAREST, skip=place_of[rows[i].doc_id])
+        votes = np.zeros(len(toxic))
+        for i, vector in zip(kept, vectors):
+            near = model.index.nearest(*vector, NEAREST, skip=place_of[int(doc_ids[i])])
             votes[i] = model.vote(*near)
         # The examples hold the labels in equal parts at most; weights give back how frequent they are.
         share = _label_counts(labels)

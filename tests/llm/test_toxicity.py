@@ -85,3 +85,17 @@ def test_calibration_rises_and_pools_equal_votes():
     xs, ys = toxicity._calibrate(votes, toxic, np.ones(6))
     assert (np.diff(xs) > 0).all() and (np.diff(ys) > 0).all()
     assert ys[0] == pytest.approx(1 / 3)
+
+
+def test_words_of_few_examples_and_copies_of_examples_count(spark):
+    docs, labels = rows(400)
+    # Words of their own, each in one example: no word is frequent, yet a copy equals its example.
+    own = [" ".join(c * n for n in (5, 7, 9)) for c in "abcdefghijkl"]
+    rare = [(10_000 + i, text, None, None, None) for i, text in enumerate(own)]
+    rare = [d for d in rare if zlib.crc32(str(d[0]).encode()) % 4 != 2]
+    copies = [(20_000 + d[0], d[1], None, None, None) for d in rare]
+    labels += [(d[0], 1) for d in rare]
+    frame = spark.createDataFrame(docs + rare + copies, DOCS)
+    found = {r.doc_id: r for r in toxicity.score(spark, frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    for original, copy in zip(rare, copies):
+        assert found[copy[0]].neighbours == [original[0]] and found[copy[0]].predicted == 1
