@@ -2,13 +2,18 @@
 
 Every source's documents are laid end to end and cut into blocks of equal size. Slots of a common clock take one block
 each. Block i of a source with weight w is released at slot floor(i/w) and due by slot ceil((i+1)/w); of the released
-blocks the one that is due first goes next. No source is then ever a whole block ahead of or behind its weight. Weights
-are whole parts of a period, so the schedule repeats: one period is worked out in a fold over its slots, and any block's
-slot follows from its number.
+blocks the one that is due first goes next. No source is then ever a whole block ahead of or behind its weight. All
+blocks of the run are scheduled once by the exact weights; the driver holds one number per block. ``schedule`` works out
+a short period whose weights are rounded; ``mix`` does not use it.
 """
 
 from __future__ import annotations
 
+import heapq
+from array import array
+from fractions import Fraction
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +24,8 @@ BLOCK_CHARS = 1 << 16
 SLOTS_PER_SOURCE = 32
 # Documents of a source that are laid end to end within one task.
 RUN_ROWS = 4096
+# Weights are whole parts of this, so that windows are exact whole numbers.
+PARTS = 1 << 40
 # A schedule is one row that holds all sources, and it is broadcast; more sources than this are refused.
 MAX_SOURCES = 4096
 # Sources take part by this power of their size: large ones count for less than their share.
@@ -110,6 +117,64 @@ def schedule(weights: DataFrame, slots_per_source: int = SLOTS_PER_SOURCE) -> Da
     return listed.select(F.explode(rows).alias("row")).select("row.*")
 
 
+def parts_of(weights: list[float | None]) -> list[int]:
+    """Parts of PARTS in proportion to the weights, by largest remainder; they add up to it, and none is 0.
+
+    What is null, not positive or not finite gets one part in SLOTS_PER_SOURCE for each source, the others the rest.
+    """
+    sound = [w is not None and 0 < w < float("inf") for w in weights]
+    if not any(sound):
+        weights, sound = [1.0] * len(weights), [True] * len(weights)
+    least = PARTS // (SLOTS_PER_SOURCE * len(weights))
+    spare = PARTS - least * sound.count(False)
+    total = sum(Fraction(w) for w, s in zip(weights, sound) if s)
+    exact = [Fraction(w) * spare / total if s else Fraction(least) for w, s in zip(weights, sound)]
+    parts = [max(int(x), 1) for x in exact]
+    left = PARTS - sum(parts)
+    order = sorted(range(len(parts)), key=lambda i: (parts[i] - exact[i], i))
+    for i in order[: max(left, 0)]:
+        parts[i] += 1
+    parts[max(range(len(parts)), key=parts.__getitem__)] += min(left, 0)  # what the least parts took
+    return parts
+
+
+def whole_run(blocks: list[int], parts: list[int]) -> list[array]:
+    """The slots of each source's blocks: earliest deadline first within the windows of the exact weights.
+
+    Slots that nothing is released for stay empty and take no time, so the work follows the number of blocks.
+    """
+    slots = [array("q") for _ in blocks]
+    pending = [(0, i) for i, n in enumerate(blocks) if n]  # by release
+    released: list[tuple[int, int]] = []  # by deadline
+    clock = 0
+    while pending or released:
+        if not released:
+            clock = max(clock, pending[0][0])
+        while pending and pending[0][0] <= clock:
+            _, i = heapq.heappop(pending)
+            heapq.heappush(released, (-(-(len(slots[i]) + 1) * PARTS // parts[i]), i))
+        _, i = heapq.heappop(released)
+        slots[i].append(clock)
+        if len(slots[i]) < blocks[i]:
+            heapq.heappush(pending, (len(slots[i]) * PARTS // parts[i], i))
+        clock += 1
+    return slots
+
+
+def _plan(wanted: DataFrame, sizes: DataFrame, block_chars: int) -> DataFrame:
+    """(s, b, slot) of every block of every source."""
+    whole = sizes.select(F.col("source").alias("s"), F.floor((F.col("chars") - 1) / block_chars).alias("last"))
+    rows = wanted.join(whole, F.col("source").eqNullSafe(F.col("s"))).select("s", "weight", "last").collect()
+    rows.sort(key=lambda r: (r.s is not None, r.s or ""))
+    slots = whole_run([r.last + 1 for r in rows], parts_of([r.weight for r in rows])) if rows else []
+    kinds = pa.schema([("s", pa.string()), ("b", pa.int64()), ("slot", pa.int64())])
+    tables = [
+        pa.Table.from_arrays([pa.repeat(pa.scalar(r.s, pa.string()), len(x)), pa.array(range(len(x)), pa.int64()), pa.array(x, pa.int64())], schema=kinds)
+        for r, x in zip(rows, slots)
+    ]
+    return wanted.sparkSession.createDataFrame(pa.concat_tables(tables) if tables else kinds.empty_table())
+
+
 def _laid_out(docs: DataFrame, sizes: DataFrame, run_rows: int) -> DataFrame:
     """(source, chars, start, tie, at) per document: where it starts when its source is laid end to end.
 
@@ -166,13 +231,10 @@ def mix(
     else:
         given = weights.groupBy(F.col("source").cast("string").alias("s")).agg(F.max("weight").alias("weight"))
         wanted = sizes.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("s")), "left").select("source", "weight")
-    plan = schedule(wanted).withColumnRenamed("source", "s")
+    plan = _plan(wanted, sizes, block_chars)
     laid = _laid_out(rows, sizes, run_rows).withColumn("block", F.floor(F.col("start") / block_chars).cast("long"))
-    placed = laid.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")))
-    slot = F.floor(F.col("block") / F.col("quota")) * F.col("period") + F.get(
-        "slots", (F.col("block") % F.col("quota")).cast("int")
-    )
-    return placed.select("doc_id", "source", "chars", "block", slot.cast("long").alias("slot"), "start", "at")
+    placed = laid.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
+    return placed.select("doc_id", "source", "chars", "block", "slot", "start", "at")
 
 
 def interleave(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:

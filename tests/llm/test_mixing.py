@@ -72,3 +72,14 @@ def test_every_document_once_and_sources_keep_their_weights(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_blocks_keep_the_target_weights_over_many_periods(spark):
+    shares = {"a": 0.7, "b": 0.2, "c": 0.099, "d": 0.001}
+    docs = [(i, "x" * 10, s, "c", "c", "c") for i, s in enumerate(s for s, w in shares.items() for _ in range(round(w * 3000)))]
+    weights = spark.createDataFrame(list(shares.items()), "source string, weight double")
+    found = mixing.mix(spark.createDataFrame(docs, DOCS), weights, block_chars=10).collect()
+    assert len(found) == len(docs) and len({r.slot for r in found}) == len(docs)
+    for r in found:  # before a block's slot the source had r.block blocks, after it one more
+        assert abs(r.block - r.slot * shares[r.source]) < 1
+        assert abs(r.block + 1 - (r.slot + 1) * shares[r.source]) < 1
