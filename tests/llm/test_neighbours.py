@@ -64,3 +64,15 @@ def test_graph_search_finds_the_nearest_centroids():
     exact = np.sqrt(neighbours._squares(x, graph.centroids))
     hits = [len(set(f) & set(np.flatnonzero(e <= 1.2 * e.min()))) / (e <= 1.2 * e.min()).sum() for f, e in zip(graph.lists(x, 1.2), exact)]
     assert np.mean(hits) > 0.95
+
+
+def test_an_outlier_gets_all_it_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 60)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(1501, 8))
+    vectors[700] *= 1000
+    ids = np.arange(1501)
+    found = asked(spark, list(zip(ids.tolist(), vectors.astype(np.float32).tolist())))
+    expected = brute(ids, vectors.astype(np.float32).astype(float), 100, 10)
+    assert found.keys() == expected.keys() and all(len(r) == 10 for r in found.values())
+    assert [i for i, _ in found[700]] == [i for i, _ in expected[700]]
