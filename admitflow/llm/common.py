@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from admitflow import session
 
+T = TypeVar("T")
+
 HELD_OUT_REMAINDER = 2
 
 
@@ -55,3 +59,18 @@ def first_by_hash(rows: DataFrame, by: str, most: int) -> DataFrame:
     near = rows.join(F.broadcast(last), F.col(by) == F.col("__by")).where(part <= F.col("__last")).select(*rows.columns)
     place = F.row_number().over(Window.partitionBy(by).orderBy(order, "doc_id"))
     return near.withColumn("__place", place).where(F.col("__place") <= most).drop("__place")
+
+
+def bounded_runs(rows: Iterable[T], size: Callable[[T], int], most: int) -> Iterator[list[T]]:
+    """Neighbouring rows whose sizes add up to ``most`` at most; a larger row is a run of its own."""
+    run: list[T] = []
+    total = 0
+    for row in rows:
+        own = size(row)
+        if run and total + own > most:
+            yield run
+            run, total = [], 0
+        run.append(row)
+        total += own
+    if run:
+        yield run

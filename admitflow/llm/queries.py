@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from admitflow.llm import (
     fingerprints,
+    infill,
     language,
     licenses,
     mixing,
@@ -15,8 +16,10 @@ from admitflow.llm import (
     neighbours,
     packing,
     passages,
+    pieces,
     secrets,
     toxicity,
+    turns,
 )
 from admitflow.llm.common import table
 
@@ -78,3 +81,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.audit(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(table(spark, sf_dir, "documents"))
