@@ -11,10 +11,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from admitflow.sources.replace import Slot
+
 
 @dataclass(frozen=True)
 class Layer:
-    """A folder of tables. Every write replaces the whole table."""
+    """A folder of tables. Every write replaces the whole table, and only once the new one is whole."""
 
     spark: SparkSession
     folder: str
@@ -24,7 +26,7 @@ class Layer:
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Store ``df`` and give back the stored table, so later steps do not compute it again."""
-        df.write.mode("overwrite").parquet(self.path(table))
+        Slot(self.spark, self.path(table)).write(df)
         return self.read(table)
 
     def write_all(self, builds: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -34,7 +36,7 @@ class Layer:
             return dict(zip(builds, pool.map(write, builds.keys(), builds.values())))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        return Slot(self.spark, self.path(table)).read()
 
     def count(self, table: str) -> int:
         """Row count, taken from the Parquet footers."""
@@ -62,5 +64,6 @@ def export(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -
     A result counted to have few rows is one file; the files of a larger one follow each other in sort order.
     """
     result = df.coalesce(1) if df.count() <= single_file_rows else df
-    result.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    stored = Slot(df.sparkSession, path)
+    stored.write(result)
+    return stored.read().count()

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,6 @@ from admitflow.functions import predicates as P
 from admitflow.functions import scalars as X
 
 
-
 def on_text(spark, convert, text):
     value = spark.range(1).select(F.lit(text).cast("string").alias("t")).select(convert(F.col("t")).alias("x")).first()
     return value["x"]
@@ -107,6 +108,37 @@ def test_json_beyond_the_parsers_limits(spark, text, expected):
     assert on_text(spark, lambda col: F.expr(P.is_json("t")), text) is expected
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('{"' + "k" * 60_000 + '": 1}', True), ('{"\\n' + "k" * 60_000 + '": ["a", {"b": "\\u00e9"}]}', True),
+        ('{"' + "k" * 60_000 + '\t": 1}', False), ('{"' + "k" * 60_000 + '\\x": 1}', False),
+        ('{"' + "k" * 60_000 + '": 1 "', False), ('{"' + "k" * 60_000 + '" "a": 1}', False),
+        ('{"' + "k" * 60_000 + '": 1}, {"a": 2}', False), ('"' + "\ue000" * 60_000 + '"', True),
+        ('{"' + "\ue001" * 60_000 + '": "\ue002"}', True), ("{'" + "k" * 60_000 + "': 1}", False),
+    ],
+)
+def test_json_with_very_long_names(spark, text, expected):
+    assert on_text(spark, lambda col: F.expr(P.is_json("t")), text) is expected
+
+
+@pytest.mark.parametrize(
+    "deep, expected",
+    [
+        ("concat(repeat('[', 1000000), repeat(']', 1000000))", True),
+        ("concat(repeat('[', 1000000), repeat(']', 999999))", False),
+        ("concat(repeat('{\"a\": [1, ', 500000), '2', repeat(']}', 500000))", True),
+        ("concat(repeat('{\"a\": [1, ', 500000), '2', repeat('}]', 500000))", False),
+        ("concat(repeat('[{}, ', 500000), '\\t', repeat(']', 500000))", False),
+    ],
+)
+def test_a_million_brackets_take_seconds(spark, deep, expected):
+    made = spark.range(1).selectExpr(f"{deep} AS t")
+    begin = time.perf_counter()
+    assert made.select(F.expr(P.is_json("t"))).first()[0] is expected
+    assert time.perf_counter() - begin < 20
+
+
 def test_json_with_a_very_long_string(spark):
     long = spark.range(1).select(F.concat(F.lit('{"a": "'), F.repeat(F.lit("x"), 21_000_000), F.lit('"}')).alias("t"))
     assert long.select(F.expr(P.is_json("t"))).first()[0] is True

@@ -496,11 +496,11 @@ _JSON_VARIANTS = {
 }
 
 _JSON_LIMITS = {
-    "deep": "repeat('[', 1200) || '\"' || n_name || '\"' || repeat(']', 1200)",
-    "deep_open": "repeat('[', 1200) || '\"' || n_name || '\"' || repeat(']', 1199)",
-    "deep_objects": "repeat('{\"a\": ', 1200) || n_nationkey || repeat('}', 1200)",
-    "long_number": "(n_nationkey + 1) || repeat('7', 1200)",
-    "long_no_number": "(n_nationkey + 1) || repeat('7', 1200) || '.'",
+    "deep": "repeat('[', 1010) || '\"' || c_name || '\"' || repeat(']', 1010)",
+    "deep_open": "repeat('[', 1010) || '\"' || c_name || '\"' || repeat(']', 1009)",
+    "deep_objects": "repeat('{\"a\": ', 1010) || c_custkey || repeat('}', 1010)",
+    "long_number": "c_custkey || repeat('7', 1010)",
+    "long_no_number": "c_custkey || repeat('7', 1010) || '.'",
 }
 
 ORACLE = {
@@ -625,7 +625,7 @@ WINDOW n AS (PARTITION BY application_id ORDER BY event_sequence, event_timestam
     ),
     "json_limits_check": _all(
         *[
-            f"SELECT n_nationkey, '{name}' AS variant, json_valid({text}) AS valid FROM nation"
+            f"SELECT c_custkey, '{name}' AS variant, json_valid({text}) AS valid FROM customer"
             for name, text in _JSON_LIMITS.items()
         ]
     ),

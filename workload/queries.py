@@ -399,17 +399,17 @@ def json_validity_check(s: StandIns) -> DataFrame:
 
 @query
 def json_limits_check(s: StandIns) -> DataFrame:
-    """Every nation as JSON beyond the parser's limits on depth and length, sound and with a fault."""
+    """Every customer as JSON beyond a parser's usual limits on depth and length, sound and with a fault."""
     variants = {
-        "deep": "concat(repeat('[', 1200), '\"', n_name, '\"', repeat(']', 1200))",
-        "deep_open": "concat(repeat('[', 1200), '\"', n_name, '\"', repeat(']', 1199))",
-        "deep_objects": "concat(repeat('{\"a\": ', 1200), n_nationkey, repeat('}', 1200))",
-        "long_number": "concat(n_nationkey + 1, repeat('7', 1200))",
-        "long_no_number": "concat(n_nationkey + 1, repeat('7', 1200), '.')",
+        "deep": "concat(repeat('[', 1010), '\"', c_name, '\"', repeat(']', 1010))",
+        "deep_open": "concat(repeat('[', 1010), '\"', c_name, '\"', repeat(']', 1009))",
+        "deep_objects": "concat(repeat('{\"a\":', 1010), c_custkey, repeat('}', 1010))",
+        "long_number": "concat(c_custkey, repeat('7', 1010))",
+        "long_no_number": "concat(c_custkey, repeat('7', 1010), '.')",
     }
     made = ", ".join(f"struct('{name}' AS variant, {sql} AS text)" for name, sql in variants.items())
-    texts = s.table("nation").selectExpr("n_nationkey", f"inline(array({made}))")
-    return texts.selectExpr("n_nationkey", "variant", f"{P.is_json('text')} AS valid")
+    texts = s.table("customer").selectExpr("c_custkey", f"inline(array({made}))")
+    return texts.selectExpr("c_custkey", "variant", f"{P.is_json('text')} AS valid")
 
 
 @query
