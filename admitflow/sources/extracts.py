@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admitflow import vocabulary as V
+from admitflow.sources import spliced
 
 
 def extract_paths(folder: str) -> dict[str, str]:
@@ -14,27 +15,26 @@ def extract_paths(folder: str) -> dict[str, str]:
 
 
 def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
-    """Whether some record may go on over a line end: its first line then has an odd number of quotes."""
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).limit(1).isEmpty()
+    """Whether some record goes on over a line end: its first line then has an odd number of quotes."""
+    return spliced.look(spark, path).line_breaks
+
+
+_OPTIONS = {"escape": '"', "maxCharsPerColumn": "-1"}
 
 
 def read_csv(spark: SparkSession, path: str, line_breaks_in_fields: bool | None = None) -> DataFrame:
     """A CSV as it is: columns as named by its header, all text, empty fields as NULL. A missing path raises.
 
-    Files are split over tasks unless fields hold line breaks, which only a reader of whole files gets right; such
-    sources should come as many files. Leave ``line_breaks_in_fields`` open to have the files looked at.
+    Files are split over tasks, also where fields hold line breaks: a look at the quotes then tells which lines belong
+    together. It is spared if ``line_breaks_in_fields`` is False. Files whose quotes do not tell (quotes inside fields
+    that have none around them, records as long as a split) are read whole, one task each.
     """
-    if line_breaks_in_fields is None:
-        line_breaks_in_fields = has_line_breaks_in_fields(spark, path)
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", line_breaks_in_fields)
-        .option("maxCharsPerColumn", -1)
-    )
+    layout = None if line_breaks_in_fields is False else spliced.look(spark, path)
+    broken = layout is not None and layout.line_breaks
+    reader = spark.read.options(header=True, multiLine=broken, **_OPTIONS)
     columns = reader.csv(path).schema  # reads one header, infers nothing
+    if broken and layout.separable:
+        return spliced.read(spark, path, layout, columns.names, _OPTIONS)
     return (
         reader.schema(columns)
         .option("enforceSchema", False)  # a part file with another header raises
