@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from admitflow import session
@@ -220,6 +220,44 @@ def offending(extracts: Extracts, check_name: str, history: DataFrame | None = N
     return table.filter(row_rules(source)[check_name])
 
 
+# Rules that judge a table as a whole; no row offends against them.
+WHOLE_TABLE = ("minimum", "span")
+
+
+def examples(
+    extracts: Extracts, check_names: list[str], history: DataFrame | None = None, rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """(check_name, place, key, offender): the first few offending rows of each rule by key, as JSON, in one job.
+
+    Rows that break several row rules of a table are found in one scan of it. Each task keeps the first few of a rule
+    before anything is shuffled, so what meets in one task is a few rows from every other one.
+    """
+    if history is None and any(name in HISTORY_RULES or name == LAST_STATE for name in check_names):
+        history = extracts.history()
+    frames, left = [], [name for name in check_names if name.split(".")[-1] not in WHOLE_TABLE]
+    for source, key in V.PRIMARY_KEYS.items():
+        rules = {name: rule for name, rule in row_rules(source).items() if name in left}
+        if rules:
+            broken = F.array_compact(F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in rules.items()]))
+            frames.append(_first_of_each(extracts.table(source), key, F.explode(broken), rows))
+            left = [name for name in left if name not in rules]
+    for name in left:
+        bad, key = offending(extracts, name, history), V.PRIMARY_KEYS[name.split(".")[0]]
+        frames.append(_first_of_each(bad, key if key in bad.columns else "application_id", F.lit(name), rows))
+    if not frames:
+        return extracts.events.sparkSession.createDataFrame([], "check_name string, place int, key string, offender string")
+    return counting.union(frames)
+
+
+def _first_of_each(bad: DataFrame, key: str, check: Column, rows: int) -> DataFrame:
+    named = bad.select(check.alias("check_name"), F.col(key).alias("key"), F.struct("*").alias("row"))
+    by_key = Window.partitionBy("check_name").orderBy(F.col("key").asc_nulls_last(), "row")
+    placed = named.withColumn("place", F.row_number().over(by_key)).where(F.col("place") <= rows)
+    return placed.select(
+        "check_name", "place", "key", F.to_json("row", {"ignoreNullFields": "false"}).alias("offender")
+    )
+
+
 def sample(bad: DataFrame, key: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first few offending rows by key."""
     return bad.orderBy(F.col(key).asc_nulls_last()).limit(rows)

@@ -1,5 +1,7 @@
 """Break the clean process one way at a time; exactly the matching rules may fire."""
 
+import json
+
 import pytest
 
 from admitflow.plans import dimensions, facts, gates, report, staging
@@ -269,3 +271,27 @@ def test_offending_rows(spark):
     assert ids(report.LAST_STATE, "application_id") == []
     bad = report.offending(extracts, f"{EVENTS}.event_id.unique")
     assert [r["event_id"] for r in report.sample(bad, "event_id", 1).collect()] == ["E3"]
+
+
+def test_examples_of_all_rules_come_in_one_plan(spark):
+    process = Process()
+    process.add_event("E3")
+    process.event("E10", application_id="PX")
+    process.event("E5", event_outcome="?")
+    process.application("P2", applicant_id="AX", application_status="?")
+    extracts = report.Extracts.of(process.frames(spark))
+    failed = [r["check_name"] for r in report.report(extracts).collect() if r["status"] == "FAIL"]
+    found = report.examples(extracts, failed)
+    rows = {(r["check_name"], r["place"]): (r["key"], json.loads(r["offender"])) for r in found.collect()}
+    assert {name for name, _ in rows} == {n for n in failed if n.split(".")[-1] not in report.WHOLE_TABLE}
+    assert [rows[f"{EVENTS}.event_id.unique", place][0] for place in (1, 2)] == ["E3", "E3"]
+    assert rows[f"{EVENTS}.event_outcome.accepted", 1][1]["event_outcome"] == "?"
+    assert rows[f"{APPS}.applicant_id.exists", 1][1]["applicant_id"] == "AX"
+    assert rows[f"{APPS}.application_status.accepted", 1][0] == "P2"
+    assert rows[f"{EVENTS}.event_sequence.contiguous", 1][1] == {"application_id": "P1"}
+    few = report.examples(extracts, failed, rows=1)
+    assert {(r["check_name"], r["place"]) for r in few.collect()} == {key for key in rows if key[1] == 1}
+    # The first few of a rule are kept in every task before the shuffle.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit [check_name" in plan and "Partial" in plan
+    assert report.examples(extracts, ["applicants.row_count.minimum"]).collect() == []

@@ -397,6 +397,57 @@ def _report() -> str:
     )
 
 
+def _offenders() -> str:
+    """The first five keys per rule of the report that judges rows, as (check_name, place, key)."""
+    rules = {
+        source: {f"{source}.{c}.required": f"coalesce({c}, '') = ''" for c in V.REPORT_REQUIRED[source]}
+        | {f"{source}.{key}.unique": f"{key} IN (SELECT {key} FROM {_READ[source]} GROUP BY {key} HAVING count(*) > 1)"}
+        for source, key in V.PRIMARY_KEYS.items()
+    }
+    rules["applicants"]["applicants.applicant_type.accepted"] = _unaccepted("applicant_type", V.APPLICANT_TYPES)
+    rules["onboarding_applications"] |= (
+        {
+            "onboarding_applications.application_status.accepted": _unaccepted(
+                "application_status", V.APPLICATION_STATUSES
+            ),
+            "onboarding_applications.applicant_id.exists": "NOT EXISTS (SELECT 1 FROM raw_applicants p"
+            " WHERE p.applicant_id = t.applicant_id)",
+            _LAST_STATE: f"""NOT EXISTS (SELECT 1 FROM read_latest l WHERE l.application_id = t.application_id)
+                OR application_status IN {_listed(["SUBMITTED", *V.TERMINAL_STATUSES])} AND EXISTS (
+                    SELECT 1 FROM read_latest l WHERE l.application_id = t.application_id AND l.to_status IS NOT NULL
+                    AND l.to_status IS DISTINCT FROM t.application_status
+                    AND l.to_status IS DISTINCT FROM t.current_step)""",
+        }
+        | _STATUS_RULES
+        | _ORDERED
+    )
+    rules["onboarding_events"] |= {
+        "onboarding_events.event_outcome.accepted": _unaccepted("event_outcome", V.EVENT_OUTCOMES),
+        "onboarding_events.event_metadata.json": "event_metadata IS NOT NULL AND NOT json_valid(event_metadata)",
+        "onboarding_events.application_id.exists": "NOT EXISTS (SELECT 1 FROM raw_applications p"
+        " WHERE p.application_id = t.application_id)",
+    }
+    found = [
+        f"SELECT '{name}' AS check_name, {V.PRIMARY_KEYS[source]} AS key FROM {_READ[source]} AS t WHERE {condition}"
+        for source, own in rules.items()
+        for name, condition in own.items()
+    ]
+    found.append(
+        """SELECT 'onboarding_events.event_sequence.contiguous' AS check_name, application_id AS key FROM (
+             SELECT application_id, list_sort(list(event_sequence) FILTER (event_sequence IS NOT NULL)) AS numbers
+             FROM read_events WHERE application_id IS NOT NULL GROUP BY application_id)
+           WHERE numbers IS DISTINCT FROM range(1, len(numbers) + 1) AND len(numbers) > 0"""
+    )
+    found.append(
+        """SELECT DISTINCT 'onboarding_events.event_timestamp.increasing' AS check_name, application_id AS key
+           FROM read_neighbours WHERE application_id IS NOT NULL
+             AND (event_timestamp IS NULL OR event_timestamp <= p_time)"""
+    )
+    return f"""SELECT check_name, CAST(place AS INTEGER) AS place, key FROM (
+        SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY key NULLS LAST) AS place FROM ({_all(*found)}))
+    WHERE place <= 5"""
+
+
 _STAGING_GATE = _all(
     _duplicates("applicant_id_unique", "stg_applicants", "applicant_id"),
     _duplicates("application_id_unique", "stg_applications", "application_id"),
@@ -514,6 +565,11 @@ ORACLE = {
     "csv_ingest": _sql(
         "SELECT " + ", ".join(f"{_filled(c)} AS {c}" for c in V.SOURCE_COLUMNS["onboarding_events"]) + " FROM raw_events"
     ),
+    "csv_line_breaks": _sql(
+        f"SELECT {_filled('event_id')} AS event_id, {_filled('to_status')} AS to_status,"
+        " event_metadata || ',' || chr(10) || '\"' || event_id || '\"' || chr(13) || chr(10) || chr(10) || '.' AS event_metadata"
+        " FROM raw_events"
+    ),
     "ingest_counts": _sql(
         _all(*[f"SELECT '{source}' AS source, count(*) AS row_count FROM {raw}" for source, raw in _RAW.items()])
     ),
@@ -642,6 +698,7 @@ WINDOW n AS (PARTITION BY application_id ORDER BY event_sequence, event_timestam
         "SELECT event_id, application_id, event_outcome FROM read_text_events"
         f" WHERE {_unaccepted('event_outcome', V.EVENT_OUTCOMES)} ORDER BY event_id LIMIT 5"
     ),
+    "offenders_by_rule": _sql(_offenders()),
     "offending_references": _sql(
         "SELECT application_id, applicant_id FROM read_applications a"
         " WHERE NOT EXISTS (SELECT 1 FROM raw_applicants p WHERE p.applicant_id = a.applicant_id)"

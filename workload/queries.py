@@ -66,6 +66,16 @@ def csv_ingest(s: StandIns) -> DataFrame:
     return extracts.read_csv(s.spark, path)
 
 
+@query
+def csv_line_breaks(s: StandIns) -> DataFrame:
+    """Events whose metadata goes on over line ends, read back from CSV files that are split inside records."""
+    path = session.scratch_path(s.spark, "extract")
+    raw = s.raw()["onboarding_events"]
+    broken = raw.withColumn("event_metadata", F.concat("event_metadata", F.lit(',\n"'), "event_id", F.lit('"\r\n\n.')))
+    broken.write.option("header", True).option("escape", '"').csv(path)
+    return extracts.read_csv(s.spark, path).select("event_id", "to_status", "event_metadata")
+
+
 @query
 def ingest_counts(s: StandIns) -> DataFrame:
     """The rows per table after the ingest of all three sources, counted in the stored tables."""
@@ -447,6 +457,16 @@ def offending_sample(s: StandIns) -> DataFrame:
     return report.sample(bad, "event_id").select("event_id", "application_id", "event_outcome")
 
 
+@query
+def offenders_by_rule(s: StandIns) -> DataFrame:
+    """The first five offenders of every rule, broken or not, from one job."""
+    x = _stored_extracts(s)
+    names = [name for source in V.SOURCE_COLUMNS for name in report.row_rules(source)]
+    names += [f"{source}.{key}.unique" for source, key in V.PRIMARY_KEYS.items()]
+    names += [*report.REFERENCES, *report.HISTORY_RULES, report.LAST_STATE]
+    return report.examples(x, names, store(x.history(), "event_history")).drop("offender")
+
+
 @query
 def offending_references(s: StandIns) -> DataFrame:
     bad = report.offending(s.extracts, "onboarding_applications.applicant_id.exists")
