@@ -402,9 +402,11 @@ def json_validity_check(s: StandIns) -> DataFrame:
         "closes_wrapper": "concat(props, '],[', props)",
         "in_list": "concat('[', props, ', null]')",
     }
-    made = ", ".join(f"struct('{name}' AS variant, {sql} AS text)" for name, sql in variants.items())
-    texts = s.table("events").selectExpr("event_id", f"inline(array({made}))")
-    return texts.selectExpr("event_id", "variant", f"{P.is_json('text')} AS valid")
+    texts = [
+        s.table("events").selectExpr("event_id", f"'{name}' AS variant", f"{sql} AS text")
+        for name, sql in variants.items()
+    ]
+    return counting.union(texts).selectExpr("event_id", "variant", f"{P.is_json('text')} AS valid")
 
 
 @query
