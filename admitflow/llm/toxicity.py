@@ -11,32 +11,36 @@ ones more; the vote is turned into a probability by the vote that the learning r
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from admitflow.llm.common import first_by_hash, held_out
 
 # Bound of what is learnt: examples of each label, a parameter of fit().
-EXAMPLES_PER_LABEL = 3000
+EXAMPLES_PER_LABEL = 1000
 # Classes that the frequencies of terms without example are counted in.
 CLASSES = 1 << 18
-STEM_LENGTHS = (4, 5, 6)
+STEM_LENGTHS = (5,)
 NEAREST = 15
 BLOCK = 64
 # Similarity that a vote for "not toxic" without any example counts as; keeps weak evidence near zero.
 PRIOR_VOTE = 0.2
 THRESHOLD = 0.3
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Words are runs of letters, to Python and to Spark alike; both hash a term the same way.
+_LETTERS = r"\p{L}+"
+_WORD = regex.compile(_LETTERS)
+_SEED = 42
 
 
 def stems(word: str) -> list[str]:
@@ -44,6 +48,24 @@ def stems(word: str) -> list[str]:
     return [word + ".", *(word[:n] for n in STEM_LENGTHS if len(word) > n)]
 
 
+def _hash(term: str) -> int:
+    return xxhash.xxh64_intdigest(term, _SEED)
+
+
+def _hashes(text: Column) -> Column:
+    """The distinct hashes of a text's terms, as ``_hash`` gives them (signed)."""
+
+    def of_word(word: Column) -> Column:
+        parts = [F.array(F.xxhash64(F.concat(word, F.lit("."))))]
+        for n in STEM_LENGTHS:
+            longer = F.length(word) > n
+            parts.append(F.when(longer, F.array(F.xxhash64(F.left(word, F.lit(n))))).otherwise(F.array().cast("array<long>")))
+        return F.concat(*parts)
+
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({_LETTERS})"), F.lit(1)))
+    return F.array_distinct(F.flatten(F.transform(words, of_word)))
+
+
 class Terms(dict):
     """Numbers of the terms in a white-space token, remembered per token up to a bound.
 
@@ -57,7 +79,7 @@ class Terms(dict):
     def __missing__(self, token: str) -> tuple[int, ...]:
         numbers = self._numbers
         found = tuple(
-            numbers[s] if s in numbers else len(numbers) + zlib.crc32(s.encode()) % CLASSES
+            numbers[s] if s in numbers else len(numbers) + _hash(s) % CLASSES
             for w in _WORD.findall(token)
             for s in stems(w)
         )
@@ -190,13 +212,10 @@ def _learning_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFr
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    ranked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text") != "")
-    # Ids are ranked before any text is fetched; twice as many, as some ids may have no text.
-    chosen = first_by_hash(known, "toxic", 2 * per_label)
-    once = ranked.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    # 2 * per_label rows of a label at most, so one task may rank them.
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
+    filled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text") != "")
+    # Only ids are joined and ranked; the texts of those chosen are fetched last.
+    chosen = first_by_hash(known.join(filled.select("doc_id"), "doc_id", "left_semi"), "toxic", per_label)
+    return filled.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def _evidence(terms: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.ndarray:
@@ -214,25 +233,20 @@ def _evidence(terms: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.nd
 
 
 def _document_frequencies(docs: DataFrame, numbers: dict[str, int]) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those with each term or class, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, found, rows = Terms(shared.value), np.zeros(len(shared.value) + CLASSES + 1, np.int64), 0
-        for batch in batches:
-            for text in batch.column(0):
-                rows += 1
-                hits = list(terms.of(text.as_py() or ""))
-                found[hits] += 1
-        found[-1] = rows
-        some = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], ["term", "n"])
+    """Number of documents, and of those with each term or class, over all documents.
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "term long, n long")
-    frequency = np.zeros(len(numbers) + CLASSES + 1)
-    summed = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row per term or class at most
-    frequency[summed.column("term").to_numpy()] = summed.column("n").to_numpy()
-    return int(frequency[-1]), frequency[:-1]
+    Counted in the JVM: a document gives each of its terms once, and counts are added up before the shuffle. What is
+    broadcast are the hashes of the examples' terms; what comes back is one row per term or class at most.
+    """
+    spark = docs.sparkSession
+    hashes = np.fromiter(map(_hash, numbers), np.uint64, len(numbers)).view(np.int64)
+    known = spark.createDataFrame(pd.DataFrame({"hash": hashes, "number": np.arange(len(numbers))}), "hash long, number long")
+    terms = docs.select(F.explode(_hashes(F.col("text").cast("string"))).alias("hash")).join(F.broadcast(known), "hash", "left")
+    unknown = F.lit(len(numbers)) + F.pmod("hash", F.lit(CLASSES))
+    counted = terms.groupBy(F.coalesce("number", unknown).alias("term")).agg(F.count("*").alias("n")).toArrow()
+    frequency = np.zeros(len(numbers) + CLASSES)
+    frequency[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
+    return docs.count(), frequency
 
 
 def _calibrate(votes: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,20 +272,21 @@ def fit(
     per_label: int = EXAMPLES_PER_LABEL,
 ) -> Model:
     """Learn from at most ``per_label`` labelled documents of each label that are not held out."""
-    rows = _learning_rows(docs, labels, per_label).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.toxic))
     numbers: dict[str, int] = {}
-    for row in rows:
-        for token in set(row.text.lower().split()):
+    counts, found = [], []
+    # One example at a time: its text is gone when the next one comes.
+    for row in _learning_rows(docs, labels, per_label).toLocalIterator():
+        times: Counter = Counter()
+        for token, n in Counter(row.text.lower().split()).items():
             for word in _WORD.findall(token):
                 for term in stems(word):
-                    numbers.setdefault(term, len(numbers))
+                    times[numbers.setdefault(term, len(numbers))] += n
+        counts.append(_arrays(times))
+        found.append((row.doc_id, row.toxic))
+    order = sorted(range(len(found)), key=found.__getitem__)
+    counts, found = [counts[i] for i in order], [found[i] for i in order]
+    toxic, doc_ids = np.array([y for _, y in found], float), np.array([i for i, _ in found], np.int64)
     total, frequency = _document_frequencies(docs, numbers)
-    terms = Terms(numbers)
-    # Arrays instead of counters, and no texts: what the driver holds per example stays small.
-    counts = [_arrays(terms.of(r.text)) for r in rows]
-    toxic, doc_ids = np.array([r.toxic for r in rows], float), np.array([r.doc_id for r in rows], np.int64)
-    del rows, terms
     weight = np.log((1 + total) / (1 + frequency)) + 1
     weight[: len(numbers)] *= 1 + _evidence([c[0] for c in counts], toxic, len(numbers))
     model = Model(numbers, weight, None, np.zeros(1), np.zeros(1))
