@@ -11,14 +11,15 @@ ones more; the vote is turned into a probability by the vote that the learning r
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +34,18 @@ CLASSES = 1 << 18
 STEM_LENGTHS = (5,)
 NEAREST = 15
 BLOCK = 64
+# At most so many terms lie in the matrix, and of these only those that one example in so many has.
+DENSE_TERMS = 1024
+DENSE_PART = 64
+# Documents whose matrix parts are computed together.
+TOGETHER = 64
 # Similarity that a vote for "not toxic" without any example counts as; keeps weak evidence near zero.
 PRIOR_VOTE = 0.2
 THRESHOLD = 0.3
 
-# Words are runs of letters, to Python and to Spark alike; both hash a term the same way.
-_LETTERS = r"\p{L}+"
-_WORD = regex.compile(_LETTERS)
+# Words are runs of letters and of numerals that are no digits, to Python and to Spark; both hash a term the same way.
+_WORD = re.compile(r"[^\W\d_]+")
+_SPARK_WORD = r"([\p{L}\p{Nl}\p{No}]+)"
 _SEED = 42
 
 
@@ -62,12 +68,12 @@ def _hashes(text: Column) -> Column:
             parts.append(F.when(longer, F.array(F.xxhash64(F.left(word, F.lit(n))))).otherwise(F.array().cast("array<long>")))
         return F.concat(*parts)
 
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({_LETTERS})"), F.lit(1)))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_SPARK_WORD), F.lit(1)))
     return F.array_distinct(F.flatten(F.transform(words, of_word)))
 
 
 class Terms(dict):
-    """Numbers of the terms in a white-space token, remembered per token up to a bound.
+    """Numbers of the terms of a word, remembered per word up to a bound.
 
     Terms that no example has get the number of their class, after all others.
     """
@@ -76,25 +82,21 @@ class Terms(dict):
         super().__init__()
         self._numbers = numbers
 
-    def __missing__(self, token: str) -> tuple[int, ...]:
-        numbers = self._numbers
-        found = tuple(
-            numbers[s] if s in numbers else len(numbers) + _hash(s) % CLASSES
-            for w in _WORD.findall(token)
-            for s in stems(w)
-        )
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        get, classes = self._numbers.get, len(self._numbers)
+        found = []
+        for term in stems(word):
+            number = get(term)
+            found.append(classes + _hash(term) % CLASSES if number is None else number)
         if len(self) >= 300_000:
             self.clear()
-        self[token] = found
+        self[word] = found
         return found
 
-    def of(self, text: str) -> Counter:
-        tokens = Counter(text.lower().split())
-        counts: Counter = Counter()
-        for n, found in zip(tokens.values(), map(self.__getitem__, tokens)):
-            for term in found:
-                counts[term] += n
-        return counts
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct terms of a text, and how often it has each."""
+        found = chain.from_iterable(map(self.__getitem__, _WORD.findall(text.lower())))
+        return np.unique(np.fromiter(found, np.int32), return_counts=True)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -105,7 +107,11 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Postings by term and block of examples, and the largest weight of each term in each block."""
+    """Postings by term and block of examples, and the largest weight of each term in each block.
+
+    The terms with the longest lists, which most blocks hold, lie as rows of a matrix instead, with the weight of each
+    example: their part of the cosines comes from one product for many documents.
+    """
 
     first: np.ndarray  # of each term: its first run, a run being its postings in one block
     block: np.ndarray  # of each run
@@ -115,6 +121,8 @@ class Index:
     weight: np.ndarray
     toxic: np.ndarray
     ids: np.ndarray
+    dense: np.ndarray  # longest terms x examples
+    place: np.ndarray  # of each term: its row there, or -1
 
     @classmethod
     def build(cls, vectors: np.ndarray, toxic: np.ndarray, ids: np.ndarray) -> Index:
@@ -133,6 +141,14 @@ class Index:
         rows = place[rows]
         order_of_postings = np.lexsort((rows, terms))
         rows, terms, weights = rows[order_of_postings], terms[order_of_postings], weights[order_of_postings]
+        lengths = np.bincount(terms, minlength=n_terms)
+        longest = np.argsort(-lengths, kind="stable")[:DENSE_TERMS]
+        longest = longest[lengths[longest] * DENSE_PART >= max(len(ids), 1)]
+        where = np.full(n_terms, -1)
+        where[longest] = np.arange(len(longest))
+        dense, own = np.zeros((len(longest), len(ids))), where[terms] >= 0
+        dense[where[terms[own]], rows[own]] = weights[own]
+        rows, terms, weights = rows[~own], terms[~own], weights[~own]
         blocks = rows // BLOCK
         opens = np.ones(len(rows), bool)
         opens[1:] = (np.diff(terms) != 0) | (np.diff(blocks) != 0)
@@ -140,34 +156,46 @@ class Index:
         largest = np.maximum.reduceat(weights, start) if len(start) else np.empty(0)
         first = np.searchsorted(terms[start], np.arange(n_terms + 1))
         ends = np.append(start, len(rows))
-        return cls(first, blocks[start], largest, ends, rows.astype(np.int32), weights, toxic[order], ids[order])
+        return cls(
+            first, blocks[start], largest, ends, rows.astype(np.int32), weights, toxic[order], ids[order], dense, where
+        )
 
-    def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def dense_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of each vector the part of its cosine with every example that the longest terms give."""
+        values = np.zeros((len(vectors), len(self.dense)))
+        for own, (terms, weights) in zip(values, vectors):
+            places = self.place[terms]
+            own[places[places >= 0]] = weights[places >= 0]
+        return values @ self.dense
+
+    def nearest(
+        self, terms: np.ndarray, values: np.ndarray, k: int, skip: int = -1, part: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples that share a term; ties go to the smaller id."""
-        runs = _ranges(self.first[terms], self.first[terms + 1])
-        value = np.repeat(values, self.first[terms + 1] - self.first[terms])
+        part = self.dense_parts([(terms, values)])[0] if part is None else part
+        rare = self.place[terms] < 0
+        terms, values = terms[rare], values[rare]
+        sizes = self.first[terms + 1] - self.first[terms]
+        runs, value = _ranges(self.first[terms], self.first[terms + 1]), np.repeat(values, sizes)
         blocks = self.block[runs]
-        bounds = np.bincount(blocks, self.largest[runs] * value, len(self.ids) // BLOCK + 1)
-        best_rows, best = np.empty(0, np.int64), np.empty(0)
-        # The two blocks that promise most set the bar for all others.
-        leading = np.zeros(len(bounds), bool)
-        leading[np.argsort(-bounds, kind="stable")[:2]] = True
-        for wanted in (leading, ~leading):
-            wanted = wanted & (bounds > 0)
-            if len(best) == k:
-                wanted &= bounds >= best[-1] - 1e-9
-            chosen = wanted[blocks]
-            starts, ends = self.start[runs[chosen]], self.start[runs[chosen] + 1]
-            at = _ranges(starts, ends)
-            cosines = np.bincount(self.row[at], self.weight[at] * np.repeat(value[chosen], ends - starts), len(self.ids))
-            rows = np.flatnonzero(cosines > 0)
-            if len(rows) > 4 * k:
-                rows = rows[cosines[rows] >= np.partition(cosines[rows], -k - 1)[-k - 1] - 1e-9]
-            rows = rows[rows != skip]
-            best_rows, best = np.concatenate([best_rows, rows]), np.concatenate([best, cosines[rows]])
-            order = np.lexsort((self.ids[best_rows], -best.round(12)))[:k]
-            best_rows, best = best_rows[order], best[order]
-        return best_rows, best
+        bounds = np.bincount(blocks, self.largest[runs] * value, -(-len(self.ids) // BLOCK))
+        # Weights are not negative: the k-th largest part is a bar that the k nearest reach, whatever is added.
+        bar = 0.0
+        if len(part) > k + 1:
+            bar = np.partition(part, -k - 1)[-k - 1] - 1e-9
+            bounds = bounds + np.maximum.reduceat(part, np.arange(0, len(part), BLOCK))
+        chosen = bounds[blocks] >= bar
+        opens, ends = self.start[runs[chosen]], self.start[runs[chosen] + 1]
+        at = _ranges(opens, ends)
+        cosines = part + np.bincount(
+            self.row[at], self.weight[at] * np.repeat(value[chosen], ends - opens), len(self.ids)
+        )
+        rows = np.flatnonzero((cosines >= bar) & (cosines > 0))
+        if len(rows) > 4 * k:
+            rows = rows[cosines[rows] >= np.partition(cosines[rows], -k - 1)[-k - 1] - 1e-9]
+        rows = rows[rows != skip]
+        rows = rows[np.lexsort((self.ids[rows], -cosines[rows].round(12)))[:k]]
+        return rows, cosines[rows]
 
 
 def _arrays(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -182,26 +210,25 @@ class Model:
     votes: np.ndarray  # calibration: votes in rising order
     chances: np.ndarray  # and the chance of the label at each
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms that examples have and their parts of the unit vector of all terms."""
-        return self.part(*_arrays(counts))
-
-    def part(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         values = (1 + np.log(times)) * self.weight[terms]
         known = terms < len(self.numbers)
-        return terms[known], values[known] / np.sqrt((values * values).sum())
+        return terms[known], values[known] / max(np.sqrt((values * values).sum()), 1e-300)
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         weights = cosines / (1.1 - np.minimum(cosines, 1.0))
         return float((weights * self.index.toxic[rows]).sum() / (weights.sum() + PRIOR_VOTE))
 
-    def score(self, counts: Counter) -> tuple[float, list[int]]:
-        rows = np.empty(0, np.int64)
-        vote = 0.0
-        if counts:
-            rows, cosines = self.index.nearest(*self.vector(counts), NEAREST)
-            vote = self.vote(rows, cosines)
-        return float(np.interp(vote, self.votes, self.chances)), self.index.ids[rows].tolist()
+    def scores(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        """Score and voting examples of each document, given by its terms and their times."""
+        vectors = [self.vector(*c) for c in counts]
+        found = []
+        for vector, part in zip(vectors, self.index.dense_parts(vectors)):
+            rows, cosines = self.index.nearest(*vector, NEAREST, part=part)
+            chance = np.interp(self.vote(rows, cosines), self.votes, self.chances)
+            found.append((float(chance), self.index.ids[rows].tolist()))
+        return found
 
 
 def _learning_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
@@ -277,10 +304,9 @@ def fit(
     # One example at a time: its text is gone when the next one comes.
     for row in _learning_rows(docs, labels, per_label).toLocalIterator():
         times: Counter = Counter()
-        for token, n in Counter(row.text.lower().split()).items():
-            for word in _WORD.findall(token):
-                for term in stems(word):
-                    times[numbers.setdefault(term, len(numbers))] += n
+        for word, n in Counter(_WORD.findall(row.text.lower())).items():
+            for term in stems(word):
+                times[numbers.setdefault(term, len(numbers))] += n
         counts.append(_arrays(times))
         found.append((row.doc_id, row.toxic))
     order = sorted(range(len(found)), key=found.__getitem__)
@@ -291,7 +317,7 @@ def fit(
     weight[: len(numbers)] *= 1 + _evidence([c[0] for c in counts], toxic, len(numbers))
     model = Model(numbers, weight, None, np.zeros(1), np.zeros(1))
     kept = [i for i, c in enumerate(counts) if len(c[0])]
-    vectors = [model.part(*counts[i]) for i in kept]
+    vectors = [model.vector(*counts[i]) for i in kept]
     at = np.repeat(np.arange(len(kept)), [len(v[0]) for v in vectors])
     held = [np.concatenate([np.empty(0, t), *(v[k] for v in vectors)]) for k, t in ((0, np.int64), (1, float))]
     model.index = Index.post(at, *held, len(numbers), toxic[kept], doc_ids[kept])
@@ -335,10 +361,11 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, **bounds: int
         terms = Terms(model.value.numbers)
         for batch in batches:
             scores, near = [], []
-            for text in batch.column(at):
-                value, ids = model.value.score(terms.of(text.as_py() or ""))
-                scores.append(value)
-                near.append(ids)
+            for start in range(0, batch.num_rows, TOGETHER):
+                texts = batch.column(at).slice(start, TOGETHER)
+                for value, ids in model.value.scores([terms.of(text.as_py() or "") for text in texts]):
+                    scores.append(value)
+                    near.append(ids)
             columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "neighbours"])
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from admitflow.llm import toxicity
 
@@ -99,3 +100,84 @@ def test_words_of_few_examples_and_copies_of_examples_count(spark):
     found = {r.doc_id: r for r in toxicity.score(spark, frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
     for original, copy in zip(rare, copies):
         assert found[copy[0]].neighbours == [original[0]] and found[copy[0]].predicted == 1
+
+
+def test_spark_hashes_terms_as_python_does(spark):
+    texts = ["Straße ÉTÉ naïve x1y2z ½ ² Ⅷ", "", "a_b-c.d", "İstanbul ΣΊΣΥΦΟΣ ǅ", "longerword longerwoods 字字字字字字字"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [set(r[0]) for r in df.select(toxicity._hashes(F.col("text"))).collect()]
+    for text, hashes in zip(texts, found):
+        words = toxicity._WORD.findall(text.lower())
+        expected = {t for w in words for t in toxicity.stems(w)}
+        assert hashes == set(np.array([toxicity._hash(t) for t in expected], np.uint64).view(np.int64).tolist())
+
+
+def brute_neighbours(docs, labels):
+    """Of every document the ids of the nearest examples, by full vectors over all terms."""
+    texts = {i: t for i, t, *_ in docs}
+    examples = sorted(i for i, y in labels if zlib.crc32(str(i).encode()) % 4 != 2 and texts.get(i))
+    truth = dict(labels)
+
+    def counts(text):
+        found = {}
+        for token in (text or "").lower().split():
+            for word in toxicity._WORD.findall(token):
+                for term in toxicity.stems(word):
+                    found[term] = found.get(term, 0) + 1
+        return found
+
+    every = [counts(t) for _, t, *_ in docs]
+    known = {t for i in examples for t in counts(texts[i])}
+    frequency, classes = {}, {}
+    for found in every:
+        for term in found:
+            frequency[term] = frequency.get(term, 0) + 1
+            if term not in known:
+                place = toxicity._hash(term) % toxicity.CLASSES
+                classes[place] = classes.get(place, 0) + 1
+
+    def weight(term):
+        if term not in known:
+            return np.log((1 + len(docs)) / (1 + classes.get(toxicity._hash(term) % toxicity.CLASSES, 0))) + 1
+        plain = np.log((1 + len(docs)) / (1 + frequency.get(term, 0))) + 1
+        seen = [sum(term in counts(texts[i]) for i in examples if truth[i] == y) for y in (0, 1)]
+        shares = [sum(truth[i] == y for i in examples) / len(examples) for y in (0, 1)]
+        evidence = sum(n * np.log(n / sum(seen) / share) for n, share in zip(seen, shares) if n)
+        return plain * (1 + max(evidence, 0))
+
+    weights = {t: weight(t) for found in every for t in found}
+
+    def vector(found):
+        values = {t: (1 + np.log(n)) * weights[t] for t, n in found.items()}
+        norm = np.sqrt(sum(v * v for v in values.values())) or 1.0
+        return {t: v / norm for t, v in values.items()}
+
+    vectors = {i: vector(counts(texts[i])) for i in examples}
+    nearest = []
+    for found in every:
+        own = vector(found)
+        cosines = {i: sum(v * own.get(t, 0) for t, v in other.items()) for i, other in vectors.items()}
+        shared = [i for i in examples if cosines[i] > 0]
+        nearest.append(sorted(shared, key=lambda i: (-round(cosines[i], 12), i))[: toxicity.NEAREST])
+    return nearest
+
+
+def test_neighbours_equal_brute_force_from_end_to_end(spark):
+    docs, labels = rows(90, seed=4)
+    docs += [(500, "kera Kerasen kerasendol unheard-of words", None, None, None), (501, "", None, None, None)]
+    frame = spark.createDataFrame(docs, DOCS)
+    scored = toxicity.score(spark, frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    found = {r.doc_id: r.neighbours for r in scored}
+    assert [found[d[0]] for d in docs] == brute_neighbours(docs, labels)
+
+
+def test_labels_without_documents_take_no_place(spark):
+    docs, labels = rows(300)
+    ghosts = [(i, y) for i in range(10_000, 14_000) for y in (i % 2,)]
+    frame = spark.createDataFrame(docs, DOCS)
+
+    def learnt(labelled):
+        found = toxicity._learning_rows(frame, spark.createDataFrame(labelled, "doc_id long, toxic int"), 20)
+        return sorted((r.doc_id, r.toxic) for r in found.collect())
+
+    assert learnt(labels) == learnt(labels + ghosts) and len(learnt(labels)) == 40
