@@ -3,8 +3,9 @@
 A bounded sample is halved again and again until the parts hold their share of a list; the parts' means, moved a little
 by Lloyd's steps, are the centroids. Every vector is posted under its nearest centroid and, near a boundary, under the
 others that are almost as near. A graph of near centroids, small enough for memory, is searched for the lists of a
-vector. A query reads the lists whose centroid is at most so many times as far as its nearest one. Lists are cut into
-parts of bounded size, each of which one task compares with the queries that read it, on the original vectors.
+vector. A query reads the lists whose centroid is at most so many times as far as its nearest one; how many times is
+measured on the sample, so that the lists read hold nearly all of its vectors' nearest others. Lists and their queries
+are cut into parts of bounded size, each pair of which one task compares on the original vectors.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from admitflow.llm.common import stored
@@ -26,10 +27,12 @@ SAMPLE_ROWS = 20_000
 MAX_LISTS = 2_500
 LIST_ROWS = 500
 PART_ROWS = 4_096
-# A vector is also posted under centroids at most so many times as far as its nearest; so are lists chosen for a query.
+# A vector is also posted under centroids at most so many times as far as its nearest.
 BOUNDARY_RATIO = 1.02
 MOST_POSTINGS = 4
-SEARCH_RATIO = 1.17
+# The share of the sample's nearest others that the lists read have to hold, and the vectors it is measured on.
+SAMPLE_RECALL = 0.97
+MEASURED_ROWS = 400
 NEAREST = 10
 DEGREE = 16
 PASS_ROWS = 256
@@ -93,8 +96,11 @@ class CentroidGraph:
             before = beam
             held = np.concatenate([beam, self.edges[beam].reshape(len(x), -1)], axis=1)
 
-    def lists(self, x: np.ndarray, ratio: float, most: int | None = None) -> list[np.ndarray]:
-        """Lists whose centroid is at most ``ratio`` times as far as the nearest one; the beam grows until it ends."""
+    def lists(self, x: np.ndarray, ratio: float, most: int | None = None, least: float = 0.0) -> list[np.ndarray]:
+        """Lists whose centroid is at most ``ratio`` times as far as the nearest one; the beam grows until it ends.
+
+        The nearest one counts as ``least`` away at least, as a vector close to its centroid has neighbours elsewhere too.
+        """
         found: list[np.ndarray] = [np.empty(0, np.int64)] * len(x)
         todo, width = np.arange(len(x)), min(most or 2 * DEGREE, len(self.centroids))
         while len(todo):
@@ -104,7 +110,7 @@ class CentroidGraph:
                 far = np.take_along_axis(far, beam, axis=1)
             else:
                 beam, far = self._beam(x[todo], width)
-            near = far <= ratio * far[:, :1]
+            near = far <= ratio * np.maximum(far[:, :1], least)
             whole = near.all(axis=1) & (most is None) & (beam.shape[1] < len(self.centroids))
             for k in np.flatnonzero(~whole):
                 found[todo[k]] = beam[k][near[k]][:most]
@@ -112,6 +118,29 @@ class CentroidGraph:
         return found
 
 
+def measured_ratio(graph: CentroidGraph, sample: np.ndarray, nearest: int) -> tuple[float, float]:
+    """The least distance ratio at which the lists of sampled vectors hold enough of their nearest others, and the
+    median distance to the nearest centroid, which the ratio is taken of for vectors that are closer.
+
+    Others in the sample are farther away than those in the table, so the table's are found at least as often.
+    """
+    step = max(1, len(sample) // MEASURED_ROWS)
+    needed: list[float] = []
+    least = float(np.median(np.sqrt(_squares(sample[::step], graph.centroids).min(axis=1))))
+    for at in range(0, len(sample), step * PASS_ROWS):
+        rows = np.arange(at, min(at + step * PASS_ROWS, len(sample)), step)
+        far = _squares(sample[rows], sample)
+        far[np.arange(len(rows)), rows] = np.inf
+        near = np.argsort(far, axis=1, kind="stable")[:, : min(nearest, len(sample) - 1)]
+        posted = graph.lists(sample[near.ravel()], BOUNDARY_RATIO, MOST_POSTINGS)
+        to_lists = np.sqrt(_squares(sample[rows], graph.centroids))
+        for k, own in enumerate(to_lists):
+            reached = [own[lists].min() for lists in posted[k * near.shape[1] : (k + 1) * near.shape[1]]]
+            if max(own.min(), least) > 0:
+                needed += (np.array(reached) / max(own.min(), least)).tolist()
+    return (max(1.0, float(np.quantile(needed, SAMPLE_RECALL))) + 1e-9 if needed else 1.0), least
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, vector): each different row with an id and a sound vector of the commonest length."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
@@ -122,13 +151,13 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("vector") == (lengths.n if lengths else 0)).dropDuplicates(["vec_id", "vector"])
 
 
-def _post(graph: CentroidGraph, ratio: float, most: int | None):
+def _post(graph: CentroidGraph, ratio: float, most: int | None, least: float = 0.0):
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, PASS_ROWS):
                 part = batch.slice(at, PASS_ROWS)
                 x = np.array(part.column(1).to_pylist(), float)
-                chosen = graph.lists(x, ratio, most)
+                chosen = graph.lists(x, ratio, most, least)
                 rows = pa.array(np.repeat(np.arange(len(x)), [len(c) for c in chosen]))
                 arrays = [pa.array(np.concatenate(chosen)), part.column(0).take(rows), part.column(1).take(rows)]
                 yield pa.RecordBatch.from_arrays(arrays, ["list", "vec_id", "vector"])
@@ -153,14 +182,14 @@ def _compare(nearest: int):
 
 
 def search(
-    spark: SparkSession, vectors: DataFrame, every: int = 100, nearest: int = NEAREST, ratio: float = SEARCH_RATIO
+    spark: SparkSession, vectors: DataFrame, every: int = 100, nearest: int = NEAREST, ratio: float | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the nearest found to each row whose vec_id is divisible by ``every``.
 
     The score is the Euclidean distance in double precision, ties go to the smaller vec_id. Vectors that are null, zero,
     hold a null or a number that is not finite, or differ from the others in length take no part, nor do rows without an
     id. Equal rows count once; rows that share an id are no neighbours of each other. Fewer candidates than asked for are
-    all given; an empty table gives none. Other columns are not read.
+    all given; an empty table gives none. Other columns are not read. Without a ``ratio`` it is measured on the sample.
     """
     rows = _usable(vectors)
     # Of equal vectors only the smallest ids can ever be among the nearest, one more in case the query is one of them.
@@ -170,25 +199,37 @@ def search(
     result = "query_id long, rank int, vec_id long, score double"
     if not sample:
         return spark.createDataFrame([], result)
-    graph = CentroidGraph.build(np.array([r.vector for r in sample]), rows.count())
+    points = np.array([r.vector for r in sample])
+    graph = CentroidGraph.build(points, rows.count())
+    ratio, least = measured_ratio(graph, points, nearest) if ratio is None else (ratio, 0.0)
     kinds = "list long, vec_id long, vector array<double>"
     postings = stored(held.mapInArrow(_post(graph, BOUNDARY_RATIO, MOST_POSTINGS), kinds), "postings")
-    wanted = rows.where(F.col("vec_id") % every == 0).mapInArrow(_post(graph, ratio, None), kinds)
+    queries = rows.where(F.col("vec_id") % every == 0)
     # One row per list.
     counted = postings.groupBy("list").agg(F.ceil(F.count("*") / PART_ROWS).cast("long").alias("parts"))
     sizes = stored(counted, "sizes")
-    again = spark.createDataFrame(sizes.collect(), sizes.schema)
-    members = postings.join(F.broadcast(sizes), "list").select(
-        "list", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part"), "vec_id", "vector"
-    )
-
-    def met(wanted: DataFrame) -> DataFrame:
-        asked = wanted.join(F.broadcast(again), "list").select(
-            "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "vec_id", "vector"
+
+    def part_of(parts: str) -> Column:
+        return F.pmod(F.xxhash64("vec_id"), F.col(parts))
+
+    def every_part(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+
+    def met(asked: DataFrame) -> DataFrame:
+        asked = stored(asked, "asked")
+        groups = asked.groupBy("list").agg(F.ceil(F.count("*") / PART_ROWS).cast("long").alias("groups"))
+        cut = stored(sizes.join(groups, "list"), "cut")
+        # At most one row per list; a part of a list meets each group of its queries once.
+        cut = F.broadcast(spark.createDataFrame(cut.collect(), cut.schema))
+        asked = asked.join(cut, "list").select(
+            "list", part_of("groups").alias("group"), every_part("parts").alias("part"), "vec_id", "vector"
+        )
+        members = postings.join(cut, "list").select(
+            "list", every_part("groups").alias("group"), part_of("parts").alias("part"), "vec_id", "vector"
         )
         pairs = (
-            asked.groupBy("list", "part")
-            .cogroup(members.groupBy("list", "part"))
+            asked.groupBy("list", "group", "part")
+            .cogroup(members.groupBy("list", "group", "part"))
             .applyInPandas(_compare(nearest), "query_id long, vec_id long, score double")
         )
         once = pairs.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
@@ -196,12 +237,12 @@ def search(
         ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
         return ranked.select("query_id", "rank", "vec_id", "score")
 
-    found = stored(met(wanted), "found")
+    found = stored(met(queries.mapInArrow(_post(graph, ratio, None, least), kinds)), "found")
     # Lists near an outlier may hold too few: such queries read all lists.
-    queries = rows.where(F.col("vec_id") % every == 0)
     full = found.where(F.col("rank") == nearest).select(F.col("query_id").alias("vec_id"))
     short = stored(queries.join(full, "vec_id", "left_anti"), "short")
     if short.isEmpty():
         return found
-    farther = met(short.crossJoin(F.broadcast(again.select("list"))).select("list", "vec_id", "vector"))
+    lists = F.sequence(F.lit(0).cast("long"), F.lit(len(graph.centroids) - 1).cast("long"))
+    farther = met(short.select(F.explode(lists).alias("list"), "vec_id", "vector"))
     return found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").union(farther)

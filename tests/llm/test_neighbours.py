@@ -31,12 +31,11 @@ def test_recall_on_hard_vectors(spark, monkeypatch):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(4000, 24)).astype(np.float32)
     ids = rng.permutation(4000)
-    # Without any structure lists have to be read farther out than the default.
-    found = asked(spark, list(zip(ids.tolist(), vectors.tolist())), every=40, ratio=1.5)
+    found = asked(spark, list(zip(ids.tolist(), vectors.tolist())), every=40)
     expected = brute(ids, vectors.astype(float), 40, 10)
     assert found.keys() == expected.keys()
-    recall = np.mean([len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) / 10 for q in expected])
-    assert recall >= 0.9
+    recalls = [len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) / 10 for q in expected]
+    assert np.mean(recalls) >= 0.95 and np.mean(np.array(recalls) < 0.5) <= 0.05
     for q, rows in found.items():
         assert all(s == pytest.approx(dict(expected[q]).get(i, s), abs=1e-12) for i, s in rows)
 
@@ -76,3 +75,32 @@ def test_an_outlier_gets_all_it_asked_for(spark, monkeypatch):
     expected = brute(ids, vectors.astype(np.float32).astype(float), 100, 10)
     assert found.keys() == expected.keys() and all(len(r) == 10 for r in found.values())
     assert [i for i, _ in found[700]] == [i for i, _ in expected[700]]
+
+
+def test_recall_on_clustered_vectors_in_many_lists(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 60)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(150, 16)) * 3
+    vectors = (centres[rng.integers(0, 150, 12_000)] + rng.normal(size=(12_000, 16))).astype(np.float32)
+    ids = np.arange(12_000)
+    found = asked(spark, list(zip(ids.tolist(), vectors.tolist())))
+    expected = brute(ids, vectors.astype(float), 100, 10)
+    recalls = [len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) / 10 for q in expected]
+    assert np.mean(recalls) >= 0.95 and np.mean(np.array(recalls) < 0.5) <= 0.05
+
+
+def test_the_ratio_follows_the_vectors():
+    rng = np.random.default_rng(9)
+    loose = rng.normal(size=(4000, 24))
+    tight = rng.normal(size=(40, 24))[rng.integers(0, 40, 4000)] * 20 + rng.normal(size=(4000, 24))
+    ratios = [neighbours.measured_ratio(neighbours.CentroidGraph.build(x, 20_000), x, 10)[0] for x in (loose, tight)]
+    assert ratios[0] > 1.1 and all(r >= 1 for r in ratios)
+
+
+def test_many_queries_of_a_list_are_cut_as_well(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    vectors, ids = rng.normal(size=(600, 4)).astype(np.float32), np.arange(600)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 50)
+    found = asked(spark, list(zip(ids.tolist(), vectors.tolist())), every=1, ratio=100.0)
+    expected = brute(ids, vectors.astype(float), 1, 10)
+    assert {q: [i for i, _ in r] for q, r in found.items()} == {q: [i for i, _ in r] for q, r in expected.items()}
