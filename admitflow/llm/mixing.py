@@ -3,31 +3,34 @@
 Every source's documents are laid end to end and cut into blocks of equal size. Slots of a common clock take one block
 each. Block i of a source with weight w is released at slot floor(i/w) and due by slot ceil((i+1)/w); of the released
 blocks the one that is due first goes next. No source is then ever a whole block ahead of or behind its weight. All
-blocks of the run are scheduled once by the exact weights; the driver holds one number per block. ``schedule`` works out
-a short period whose weights are rounded; ``mix`` does not use it.
+blocks of the run are scheduled once by the exact weights. The driver holds one number per block, and blocks grow with
+the table, so that there are never more than a few million.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from array import array
 from fractions import Fraction
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admitflow.llm.common import stored
 
+# Characters of a block, and blocks of a run: larger tables have larger blocks, and the deviation stays below one.
 BLOCK_CHARS = 1 << 16
-# Slots of a period for each source at least; the finer, the closer weights are kept.
+MOST_BLOCKS = 1 << 22
+# A source without a sound weight gets one slot in so many for each source.
 SLOTS_PER_SOURCE = 32
 # Documents of a source that are laid end to end within one task.
 RUN_ROWS = 4096
 # Weights are whole parts of this, so that windows are exact whole numbers.
 PARTS = 1 << 40
-# A schedule is one row that holds all sources, and it is broadcast; more sources than this are refused.
-MAX_SOURCES = 4096
+# The driver holds a row for each source; more than this are refused.
+MAX_SOURCES = 1 << 20
 # Sources take part by this power of their size: large ones count for less than their share.
 SMOOTHING = 0.7
 
@@ -37,86 +40,6 @@ def default_weights(sizes: DataFrame, power: float = SMOOTHING) -> DataFrame:
     return sizes.select("source", F.pow(F.greatest("chars", F.lit(1)).cast("double"), power).alias("weight"))
 
 
-def schedule(weights: DataFrame, slots_per_source: int = SLOTS_PER_SOURCE) -> DataFrame:
-    """(source, quota, period, slots) from (source, weight): the slots of one period that each source takes.
-
-    One row per source, so it is as small as the list of sources. Weights are rounded to parts of the period by largest
-    remainder, one part at least; a weight that is null, not positive or not finite counts as none and gets one part.
-    """
-    sound = F.col("weight").isNotNull() & (F.col("weight") > 0) & (F.col("weight") < float("inf")) & ~F.isnan("weight")
-    clean = weights.select("source", F.when(sound, F.col("weight")).otherwise(0.0).cast("double").alias("weight"))
-    listed = clean.groupBy().agg(F.array_sort(F.collect_list(F.struct("source", "weight"))).alias("s"))
-    listed = listed.where(F.size("s") > 0).select(
-        "s",
-        (F.size("s") * slots_per_source).alias("period"),
-        F.aggregate("s", F.lit(0.0), lambda a, x: a + x["weight"]).alias("total"),
-    )
-    spare = F.col("period") - F.size("s")
-    exact = F.transform(
-        "s",
-        lambda x, i: F.struct(
-            i.alias("i"), F.when(F.col("total") > 0, x["weight"] / F.col("total") * spare).otherwise(0.0).alias("parts")
-        ),
-    )
-    listed = listed.select("s", "period", exact.alias("exact"))
-    whole = F.transform("exact", lambda x: F.floor(x["parts"]).cast("int"))
-    listed = listed.select("s", "period", "exact", whole.alias("whole"))
-    left = F.col("period") - F.size("s") - F.aggregate("whole", F.lit(0), lambda a, x: a + x)
-    by_remainder = F.array_sort(
-        F.transform(
-            "exact", lambda x: F.struct((F.floor(x["parts"]) - x["parts"]).alias("r"), x["i"].cast("int").alias("i"))
-        )
-    )
-    # Without any weight the left parts go round more than once.
-    listed = listed.select("s", "period", "whole", left.alias("left"), by_remainder.alias("order"))
-    extra = F.transform(
-        "s",
-        lambda x, i: F.aggregate(
-            F.transform("order", lambda o, place: F.struct(o["i"].alias("i"), place.alias("place"))),
-            F.lit(0),
-            lambda a, o: a
-            + F.when(
-                o["i"] == i,
-                F.floor((F.col("left") - 1 - o["place"] + F.size("s")) / F.size("s")).cast("int"),
-            ).otherwise(0),
-        ),
-    )
-    quotas = F.zip_with("whole", extra, lambda a, b: (a + b + 1).cast("long"))
-    listed = listed.select("s", F.col("period").cast("long").alias("period"), quotas.alias("quota"))
-
-    # state: blocks each source has had, and which source took each slot.
-    def step(state: Column, slot: Column) -> Column:
-        due = F.zip_with(
-            F.col("quota"),
-            state["had"],
-            lambda q, n: F.when(
-                (n < q) & (F.floor(n * F.col("period") / q) <= slot), F.ceil((n + 1) * F.col("period") / q)
-            ),
-        )
-        ranked = F.transform(due, lambda d, i: F.when(d.isNotNull(), F.struct(d.alias("d"), i.alias("i"))))
-        taken = F.array_min(ranked)["i"]
-        return F.struct(
-            F.transform(state["had"], lambda n, i: n + F.when(i == taken, 1).otherwise(0).cast("long")).alias("had"),
-            F.concat(state["order"], F.array(taken.cast("int"))).alias("order"),
-        )
-
-    start = F.struct(
-        F.transform("s", lambda x: F.lit(0).cast("long")).alias("had"), F.array().cast("array<int>").alias("order")
-    )
-    slots = F.sequence(F.lit(0).cast("long"), F.col("period") - 1)
-    listed = listed.select("s", "period", "quota", F.aggregate(slots, start, step)["order"].alias("order"))
-    own = lambda i: F.filter(
-        F.transform("order", lambda o, slot: F.when(o == i, slot.cast("long"))), lambda x: x.isNotNull()
-    )
-    rows = F.transform(
-        "s",
-        lambda x, i: F.struct(
-            x["source"].alias("source"), F.get("quota", i).alias("quota"), "period", own(i).alias("slots")
-        ),
-    )
-    return listed.select(F.explode(rows).alias("row")).select("row.*")
-
-
 def parts_of(weights: list[float | None]) -> list[int]:
     """Parts of PARTS in proportion to the weights, by largest remainder; they add up to it, and none is 0.
 
@@ -209,8 +132,8 @@ def mix(
     once: a source that has run out leaves its slots empty, so those left keep their proportions. A document belongs to
     the block in which it starts; a long one spans several, and the slots of those it fills whole stay its own. Null and
     empty texts count as one character. A null source is a source; one without a weight gets the smallest part. Repeated
-    rows are scheduled one after the other; an empty table gives none. Other columns are not read. More than MAX_SOURCES
-    sources are refused.
+    rows are scheduled one after the other; an empty table gives none. Other columns are not read. ``block_chars`` is the
+    least size of a block. More than MAX_SOURCES sources are refused.
     """
     length = F.greatest(F.coalesce(F.char_length(F.col("text").cast("string")), F.lit(0)), F.lit(1)).cast("long")
     tie = F.xxhash64(F.col("doc_id").cast("string"), F.lit(17))
@@ -224,13 +147,15 @@ def mix(
     )
     counted = rows.groupBy("source").agg(F.sum("chars").alias("chars"), F.count("*").alias("rows"))
     sizes = stored(counted, "source-sizes")
-    if sizes.count() > MAX_SOURCES:
+    whole = sizes.agg(F.count("*").alias("sources"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
+    if whole.sources > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
+    block_chars = max(block_chars, math.ceil(whole.chars / MOST_BLOCKS))
     if weights is None:
         wanted = default_weights(sizes)
     else:
         given = weights.groupBy(F.col("source").cast("string").alias("s")).agg(F.max("weight").alias("weight"))
-        wanted = sizes.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("s")), "left").select("source", "weight")
+        wanted = sizes.join(given, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "weight")
     plan = _plan(wanted, sizes, block_chars)
     laid = _laid_out(rows, sizes, run_rows).withColumn("block", F.floor(F.col("start") / block_chars).cast("long"))
     placed = laid.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))

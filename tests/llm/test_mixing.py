@@ -1,6 +1,7 @@
 import math
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 
@@ -9,36 +10,54 @@ from admitflow.llm import mixing
 DOCS = "doc_id long, text string, source string, s string, slot string, start string"
 
 
-def brute_schedule(quotas):
-    """Earliest deadline first, one slot at a time."""
-    period, had, slots = sum(q for _, q in quotas), [0] * len(quotas), defaultdict(list)
-    for slot in range(period):
+def brute_run(blocks, parts):
+    """Earliest deadline first, one slot at a time, over all sources."""
+    had, slots, slot = [0] * len(blocks), [[] for _ in blocks], 0
+    while had != list(blocks):
         ready = [
-            (math.ceil((n + 1) * period / q), i)
-            for i, ((_, q), n) in enumerate(zip(quotas, had))
-            if n < q and math.floor(n * period / q) <= slot
+            (math.ceil(Fraction((n + 1) * mixing.PARTS, w)), i)
+            for i, (n, w) in enumerate(zip(had, parts))
+            if n < blocks[i] and math.floor(Fraction(n * mixing.PARTS, w)) <= slot
         ]
-        _, i = min(ready)
-        had[i] += 1
-        slots[quotas[i][0]].append(slot)
+        if ready:
+            _, i = min(ready)
+            had[i] += 1
+            slots[i].append(slot)
+        slot += 1
     return slots
 
 
 @pytest.mark.parametrize("weights", [[1.0], [3, 1], [5, 1, 1, 1], [0.5] + [0.02] * 9, [None, 2.0, float("nan")], [0, 0]])
-def test_schedule_is_earliest_deadline_first_and_within_a_block(spark, weights):
-    frame = spark.createDataFrame([(f"s{i}", None if w is None else float(w)) for i, w in enumerate(weights)], "source string, weight double")
-    rows = sorted(mixing.schedule(frame).collect(), key=lambda r: r.source)
-    period = rows[0].period
-    assert sum(r.quota for r in rows) == period and min(r.quota for r in rows) >= 1
-    expected = brute_schedule([(r.source, r.quota) for r in rows])
-    for r in rows:
-        assert r.slots == expected[r.source]
-        for slot in range(period + 1):
-            assert abs(sum(x < slot for x in r.slots) - r.quota * slot / period) < 1
+def test_a_run_is_earliest_deadline_first_and_within_a_block(weights):
+    parts = mixing.parts_of(weights)
+    assert sum(parts) == mixing.PARTS and min(parts) >= 1
+    blocks = [math.ceil(Fraction(200 * w, mixing.PARTS)) for w in parts]
+    slots = [list(s) for s in mixing.whole_run(blocks, parts)]
+    assert slots == brute_run(blocks, parts)
+    assert len({s for own in slots for s in own}) == sum(blocks)
+    for own, w in zip(slots, parts):
+        for n, slot in enumerate(own):  # as long as no source has run out
+            if slot < 150:
+                assert abs(n - Fraction(slot * w, mixing.PARTS)) < 1
+                assert abs(n + 1 - Fraction((slot + 1) * w, mixing.PARTS)) < 1
     total = sum(w for w in weights if w and w == w)
-    for r, w in zip(rows, weights):
-        if w and w == w:
-            assert abs(r.quota / period - w / total) < 2 / mixing.SLOTS_PER_SOURCE
+    if all(w and w == w for w in weights):
+        assert all(abs(Fraction(p, mixing.PARTS) - Fraction(w) / Fraction(total)) < 1e-9 for p, w in zip(parts, weights))
+
+
+def test_runs_with_sources_that_end_early():
+    rng = random.Random(3)
+    for _ in range(40):
+        parts = mixing.parts_of([rng.random() for _ in range(rng.randint(1, 6))])
+        blocks = [rng.randint(0, 12) for _ in parts]
+        assert [list(s) for s in mixing.whole_run(blocks, parts)] == brute_run(blocks, parts)
+
+
+def test_blocks_grow_with_the_table(spark, monkeypatch):
+    docs = [(i, "x" * 100, "ab"[i % 2], "c", "c", "c") for i in range(1000)]
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 50)
+    found = mixing.mix(spark.createDataFrame(docs, DOCS), block_chars=10).collect()
+    assert len(found) == 1000 and len({(r.source, r.block) for r in found}) <= 52
 
 
 def test_every_document_once_and_sources_keep_their_weights(spark):
