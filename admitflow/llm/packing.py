@@ -54,7 +54,7 @@ class Encoder:
 
         with open(vocabulary, encoding="utf-8") as file:
             content = json.load(file)
-        special = {t["content"] for t in content.get("added_tokens", []) if t.get("special")}
+        special = {t["content"]: t["id"] for t in content.get("added_tokens", []) if t.get("special")}
         symbols = _byte_symbols()
         ranks = {
             bytes(symbols[c] for c in token): number
@@ -62,11 +62,11 @@ class Encoder:
             if token not in special
         }
         self._encoding = tiktoken.Encoding(
-            "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
 
     def encode(self, text: str) -> bytes:
-        return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return self._encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 class OpenWindows:
@@ -174,7 +174,7 @@ def pack(
 
     A null or empty text is id 0 alone. Repeated rows are packed once each; ids may be null and are passed on. An empty
     table gives no pieces. Other columns of ``docs`` are not read. Runs of one length go in the order they were read.
-    Strings of special tokens in a text are ordinary text.
+    Strings of special tokens in a text become their ids, as the vocabulary file says.
     """
     task = _pack_task(vocabulary or default_vocabulary(), window, pass_runs)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task, SCHEMA)

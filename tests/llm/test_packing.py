@@ -13,9 +13,7 @@ SCHEMA = "doc_id long, text string, length int, start string, sequence_id double
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_encoder_gives_the_ids_of_the_tokenizer(tokenizer):
