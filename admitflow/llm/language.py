@@ -11,21 +11,23 @@ code-switched sequences, so that transitions are learned too.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admitflow.llm.common import first_by_hash, held_out
 
-# Bounds of the learning sample: documents of each language, and the longest text that may be one.
+# Bounds of the learning sample: documents of each language, and the characters learnt of one. A longer text is learnt
+# from slices spread evenly over all of it.
 DOCS_PER_LANGUAGE = 150
-LONGEST_SAMPLE = 20_000
+LEARNT_CHARS = 20_000
+LEARNT_SLICES = 10
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 17
 LEXICON_LEAST = 3
@@ -39,7 +41,7 @@ PASS_WORDS = 1_000_000
 REMEMBERED = 400_000
 UNDETERMINED = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str) -> list[str]:
@@ -201,13 +203,18 @@ def train(sample: list[tuple[str, str]], seed: int = 5) -> Model:
 
 
 def sample_rows(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most ``per_language`` learning rows of each language, chosen by a hash of the id."""
-    usable = (
-        ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
-    ) & (F.char_length("text") <= LONGEST_SAMPLE)
-    known = docs.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang").where(usable)
+    """At most ``per_language`` learning rows of each language, chosen by a hash of the id, whatever their length."""
+    usable = ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    known = docs.select("doc_id", "text", "lang").where(usable)
     chosen = first_by_hash(known, "lang", per_language)
-    return sorted((r.text, r.lang) for r in chosen.select("text", "lang").collect())
+    size = LEARNT_CHARS // LEARNT_SLICES
+    starts = F.sequence(F.lit(0), F.lit(LEARNT_SLICES - 1))
+    last = F.char_length("text") - size
+    slices = F.transform(
+        starts, lambda i: F.substring(F.col("text"), (i * last / (LEARNT_SLICES - 1)).cast("int") + 1, F.lit(size))
+    )
+    learnt = F.when(F.char_length("text") <= LEARNT_CHARS, F.col("text")).otherwise(F.array_join(slices, " "))
+    return sorted((r.text, r.lang) for r in chosen.select(learnt.alias("text"), "lang").collect())
 
 
 class _Remembered:

@@ -79,3 +79,21 @@ def test_nothing_to_learn_and_nothing_to_predict(spark):
     assert language.identify(spark, spark.createDataFrame([], DOCS)).collect() == []
     same = [(i, t, "aa", None, None) for i, t, *_ in documents(12)]
     assert {r.lang_pred for r in language.identify(spark, spark.createDataFrame(same, DOCS)).collect()} == {"aa"}
+
+
+def test_numerals_are_no_letters(spark):
+    docs = [(i, text, lang, "x", "y") for i in range(40) for text, lang in [("le chat noir", "fr"), ("the black cat", "en")]]
+    odd = [(1000 + i, t, None, "x", "y") for i, t in enumerate(["½ ²", "Ⅷ", "٣ 4", "e\u0301", "ª"])]
+    found = {r.doc_id: r for r in language.identify(spark, spark.createDataFrame(docs + odd, DOCS)).collect()}
+    assert [found[1000 + i].lang_pred for i in range(3)] == ["und"] * 3
+    assert found[1003].lang_pred != "und" and found[1004].lang_pred != "und"
+
+
+def test_a_language_that_has_long_texts_only_is_learned(spark):
+    docs = [(i, "the black cat sat " * 3, "en", "x", "y") for i in range(40)]
+    docs += [(100 + i, "le chat noir dort " * 4_000, "fr", "x", "y") for i in range(8)]
+    docs += [(500, "chat noir", None, "x", "y"), (501, "black cat", None, "x", "y")]
+    frame = spark.createDataFrame(docs, DOCS)
+    assert max(len(text) for text, _ in language.sample_rows(frame)) <= language.LEARNT_CHARS + language.LEARNT_SLICES
+    found = {r.doc_id: r.lang_pred for r in language.identify(spark, frame).collect()}
+    assert (found[500], found[501]) == ("fr", "en")
