@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
+import xxhash
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
@@ -27,20 +30,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     Words are runs of bytes other than blank and 0x09 to 0x0D.
     """
-    counts = np.zeros(len(texts), np.int64)
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edges = np.flatnonzero(np.diff(solid.view(np.int8), prepend=0))
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.empty(0, np.uint64), counts
-    sizes = ends - starts
-    first = np.cumsum(sizes) - sizes
-    place = np.arange(sizes.sum()) - np.repeat(first, sizes)
-    terms = (data[solid].astype(np.uint64) + np.uint64(1)) * _powers_to(int(sizes.max()) + 1)[place]
-    limits = np.cumsum([len(t) + 1 for t in texts])
-    counts = np.diff(np.searchsorted(starts, limits), prepend=0)
-    return mix(np.add.reduceat(terms, first)), counts
+    words = [text.split() for text in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    hashes = map(xxhash.xxh3_64_intdigest, chain.from_iterable(words))
+    return np.fromiter(hashes, np.uint64, int(counts.sum())), counts
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -77,3 +77,17 @@ def test_one_document_of_each_component_stays(spark):
 
 def test_empty_table(spark):
     assert neardup.group(spark, spark.createDataFrame([], DOCS)).collect() == []
+
+
+def twins():
+    """Two words of 1,024 letters that hashes modulo a power of two cannot tell apart."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_that_differ_are_not_one(spark):
+    docs = [(i, word, None) for i, word in enumerate(twins())]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, extra int")
+    assert [r.kept for r in neardup.group(spark, frame).collect()] == [True, True]

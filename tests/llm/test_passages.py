@@ -4,6 +4,7 @@ import random
 import pytest
 
 from admitflow.llm import passages
+from tests.llm.test_neardup import twins
 
 DOCS = "doc_id long, text string, first string, n string, tid string"
 
@@ -76,3 +77,10 @@ def test_matching_statistics_equal_brute_force(seed):
 
 def test_empty_table(spark):
     assert passages.remove_repeats(spark, spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_long_words_that_differ_are_not_removed(spark):
+    shared = " ".join(f"w{i}" for i in range(60))
+    docs = [(i, shared.replace("w30 ", f"{word} ")) for i, word in enumerate(twins())]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r.n_removed for r in passages.remove_repeats(spark, frame).orderBy("doc_id").collect()] == [0, 0]
