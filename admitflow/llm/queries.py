@@ -22,9 +22,11 @@ from admitflow.llm import (
     turns,
 )
 from admitflow.llm.common import table
+from admitflow.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
