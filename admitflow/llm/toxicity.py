@@ -60,16 +60,12 @@ def _hash(term: str) -> int:
 
 def _hashes(text: Column) -> Column:
     """The distinct hashes of a text's terms, as ``_hash`` gives them (signed)."""
-
-    def of_word(word: Column) -> Column:
-        parts = [F.array(F.xxhash64(F.concat(word, F.lit("."))))]
-        for n in STEM_LENGTHS:
-            longer = F.length(word) > n
-            parts.append(F.when(longer, F.array(F.xxhash64(F.left(word, F.lit(n))))).otherwise(F.array().cast("array<long>")))
-        return F.concat(*parts)
-
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_SPARK_WORD), F.lit(1)))
-    return F.array_distinct(F.flatten(F.transform(words, of_word)))
+    found = F.transform(words, lambda w: F.xxhash64(F.concat(w, F.lit("."))))
+    for n in map(F.lit, STEM_LENGTHS):
+        longer = F.filter(words, lambda w: F.length(w) > n)  # noqa: B023
+        found = F.array_union(found, F.transform(longer, lambda w: F.xxhash64(F.left(w, n))))  # noqa: B023
+    return found
 
 
 class Terms(dict):
