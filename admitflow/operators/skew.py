@@ -46,27 +46,56 @@ def _holds(col: Column, keys: tuple) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def split(df: DataFrame, key: str) -> Split:
-    """Separate the hot keys of ``df``.
+def hot_keys(df: DataFrame, key: str) -> dict[object, int]:
+    """The keys of ``df`` with more rows than one task should get, and their rows.
 
     A table that has fewer rows than a hot key needs no closer look (for stored tables that count comes from the
     Parquet footers). Otherwise one pass over the key column fills a frequent-item sketch of fixed size, or, where that
     would be too coarse, counts the rows by key. The hot keys come back to the driver: one for each ``HOT_ROWS`` rows of
     the table at most, by arithmetic.
     """
-    rows = df.count()
-    limit = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+    rows, limit = df.count(), _limit(df)
     if rows <= limit:
-        return Split(key, df)
+        return {}
     if rows <= SKETCHED_LIMITS * limit:
         frequent = f"filter(approx_top_k(`{key}`, {SKETCH_ITEMS // 2}, {SKETCH_ITEMS}), item -> item.count > {limit}L)"
         found = df.agg(F.expr(frequent).alias("items")).first()["items"]
     else:
         sizes = df.groupBy(F.col(key).alias("item")).agg(F.count("*").alias("count"))
         found = sizes.filter(F.col("count") > limit).collect()
+    return {entry["item"]: entry["count"] for entry in found}
+
+
+def _limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+
+
+def split(df: DataFrame, key: str) -> Split:
+    """Separate the hot keys of ``df``."""
+    found = hot_keys(df, key)
     if not found:
         return Split(key, df)
-    keys = tuple(entry["item"] for entry in found)
+    keys = tuple(found)
     held = _holds(F.col(key), keys)
-    pieces = math.ceil(sum(entry["count"] for entry in found) / limit)
-    return Split(key, df.filter(~held), df.filter(held), keys, pieces)
+    return Split(key, df.filter(~held), df.filter(held), keys, math.ceil(sum(found.values()) / _limit(df)))
+
+
+def lookup(
+    rows: DataFrame, key: str, members: DataFrame, member_key: str, hot: dict[object, int], by: str
+) -> DataFrame:
+    """Left join of ``rows`` to ``members``, the rows of ``hot`` keys spread over many tasks by a hash of ``by``.
+
+    Each hot key is cut into as many parts as the largest one needs, and its members are repeated once per part: few
+    rows, as hot keys are few. Rows without a key meet nothing, yet they would all meet in one task; they are spread
+    alike where they are many.
+    """
+    match = F.col(key) == F.col(member_key)
+    if not hot:
+        return rows.join(members, match, "left")
+    keys, parts = tuple(hot), math.ceil(max(hot.values()) / _limit(rows))
+    part = F.when(_holds(F.col(key), keys), F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(_holds(F.col(member_key), keys), F.sequence(F.lit(0), F.lit(parts - 1)))
+    spread = members.withColumn("__copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    return rows.withColumn("__part", part).join(spread, match & (F.col("__part") == F.col("__copy")), "left").drop(
+        "__part", "__copy"
+    )

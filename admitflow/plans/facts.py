@@ -78,8 +78,8 @@ def application_snapshot(
 ) -> DataFrame:
     """One row per application with its milestones, durations, failed events and sessions.
 
-    ``history`` is one row per application, so the event log is not read again. The applicant lookup comes last: an
-    applicant with very many applications is then left to the adaptive skew join, which splits that side.
+    ``history`` is one row per application, so the event log is not read again. Applicants with very many applications
+    are found first, and the applicant lookup spreads theirs over many tasks.
     """
     per_application = history.select(
         F.col("application_id").alias("__history_id"), "failure_event_count", "session_count"
@@ -92,8 +92,9 @@ def application_snapshot(
         applications.join(per_application, F.col("application_id") == F.col("__history_id"), "left")
         .join(lookup, F.col("application_id") == F.col("__application_id"), "left")
         .join(channels, F.col("source_channel") == F.col("__channel_code"), "left")
-        .join(owners, F.col("applicant_id") == F.col("__applicant_id"), "left")
     )
+    crowded = skew.hot_keys(applications, "applicant_id")
+    joined = skew.lookup(joined, "applicant_id", owners, "__applicant_id", crowded, by="application_id")
     started, submitted, completed = F.col("started_at"), F.col("submitted_at"), F.col("completed_at")
     return joined.select(
         "application_id",

@@ -148,3 +148,27 @@ def test_dense_key_in_pieces_equals_row_number(spark, limits):
 def test_dense_key_of_nothing(spark):
     empty = spark.createDataFrame([], "id string")
     assert keys.add_dense_key(empty, "key", "id").collect() == []
+
+
+def test_a_lookup_spreads_frequent_keys(spark, limits):
+    data = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 50}") for i in range(3000)]
+    log = spark.createDataFrame(data, "id long, k string")
+    members = spark.createDataFrame([("hot", 1), ("hot", 2), ("k2", 3), ("none", 4)], "m string, v int")
+    expected = rows(log.join(members, F.col("k") == F.col("m"), "left"))
+    assert rows(skew.lookup(log, "k", members, "m", skew.hot_keys(log, "k"), by="id")) == expected
+    limits(hot_rows=100)
+    hot = skew.hot_keys(log, "k")
+    assert set(hot) == {"hot", None}
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.shuffle.partitions": "40"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        found = skew.lookup(log, "k", members, "m", hot, by="id")
+        assert found.columns == ["id", "k", "m", "v"] and rows(found) == expected
+        sizes = found.groupBy(F.spark_partition_id()).agg(F.countDistinct("id").alias("n")).agg(F.max("n")).first()[0]
+        assert sizes < 600  # two thirds of the rows have a hot key or none
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

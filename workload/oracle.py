@@ -171,6 +171,8 @@ _PARTS = {
     "clicks_fact": _event_fact("clicks", "click_channel"),
     "snapshot": _snapshot("stg_events", "dim_channel"),
     "lines_snapshot": _snapshot("lines", "line_channel"),
+    "crowded_applications": f"SELECT * REPLACE ({S.CROWDED['applicant_id']}) FROM stg_applications",
+    "crowded_snapshot": _snapshot("stg_events", "dim_channel").replace("stg_applications", "crowded_applications"),
     "event_neighbours": _neighbours("stg_events"),
     "click_neighbours": _neighbours("clicks"),
     "line_neighbours": _neighbours("lines"),
@@ -593,6 +595,7 @@ ORACLE = {
     "event_history_in_pieces": _sql(_counts("skewed_neighbours", _HISTORY)),
     "event_fact_gap": _sql("SELECT * FROM clicks_fact"),
     "application_snapshot": _sql("SELECT * FROM snapshot"),
+    "snapshot_of_crowded_applicants": _sql("SELECT * FROM crowded_snapshot"),
     "order_line_snapshot": _sql("SELECT * FROM lines_snapshot"),
     "funnel_by_date_channel": _sql(_FUNNEL),
     "funnel_on_checked_grain": _sql(_FUNNEL),

@@ -203,6 +203,16 @@ def application_snapshot(s: StandIns) -> DataFrame:
     return _snapshot(s, s.events, _dimensions(s, s.events, SNAPSHOT_LOOKUPS))
 
 
+@query
+def snapshot_of_crowded_applicants(s: StandIns) -> DataFrame:
+    """The snapshot where one applicant has a third of all applications and many have no applicant."""
+    dims = _dimensions(s, s.events, SNAPSHOT_LOOKUPS)
+    with _small_limits(store(s.crowded_applications, "applications")) as applications:
+        return facts.application_snapshot(
+            applications, event_history(s.events), dims["dim_application"], dims["dim_applicant"], dims["dim_channel"]
+        )
+
+
 @query
 def order_line_snapshot(s: StandIns) -> DataFrame:
     """Snapshot with order lines as events: some orders have none and must show zero, not NULL."""

@@ -32,6 +32,13 @@ JOIN @region ON n_regionkey = r_regionkey
 """
 
 
+# One applicant with a third of all applications, and many applications without one.
+CROWDED = {
+    "applicant_id": "CASE WHEN CAST(substring(application_id, 2) AS bigint) % 3 = 0 THEN 'C1'"
+    " WHEN CAST(substring(application_id, 2) AS bigint) % 7 = 0 THEN NULL ELSE applicant_id END AS applicant_id"
+}
+
+
 def _band(start: int) -> str:
     return f"o_totalprice >= {start} AND o_totalprice < {start + 2000}"
 
@@ -256,6 +263,10 @@ class StandIns:
     def applications(self) -> DataFrame:
         return staging.stage(self.sql(APPLICATIONS), "onboarding_applications")
 
+    @cached_property
+    def crowded_applications(self) -> DataFrame:
+        return self.applications.selectExpr(*[CROWDED.get(c, c) for c in self.applications.columns])
+
     @cached_property
     def events(self) -> DataFrame:
         return staging.stage(self.sql(EVENTS), "onboarding_events")
