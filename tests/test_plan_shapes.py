@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from admitflow.plans import facts, gates, outcomes
 from admitflow.plans.history import event_history
 from admitflow.operators import counting
-from workload.queries import store
+from workload.queries import QUERIES, store
 from workload.standins import StandIns
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +67,11 @@ def test_funnel_needs_no_expand(spark):
     date = spark.range(1).selectExpr("int(id) AS date_key", "DATE'2025-01-01' AS calendar_date")
     channel = spark.range(1).selectExpr("id AS channel_key", "'WEB' AS channel_code")
     assert "Expand" not in plan(outcomes.funnel(snapshot, application, date, channel))
+
+
+def test_json_limits_texts_are_made_by_many_tasks(spark, tmp_path):
+    customers = spark.range(5000).selectExpr("id AS c_custkey", "concat('Customer', id) AS c_name")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    found = QUERIES["json_limits_check"](spark, str(tmp_path))
+    assert found.count() == 25_000
+    assert found.select(F.spark_partition_id()).distinct().count() == 3

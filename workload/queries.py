@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -35,6 +36,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return Layer(df.sparkSession, session.scratch_path(df.sparkSession, "tables")).write(name, df)
 
 
+def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """The rows dealt over tasks by their number: few bytes are few splits, whatever is then made from each row."""
+    return df.repartition(max(1, math.ceil(df.count() / rows_per_task)))
+
+
 # --- staging and sources ---
 
 
@@ -430,7 +436,9 @@ def json_limits_check(s: StandIns) -> DataFrame:
         "long_no_number": "concat(c_custkey, repeat('7', 1010), '.')",
     }
     made = ", ".join(f"struct('{name}' AS variant, {sql} AS text)" for name, sql in variants.items())
-    texts = s.table("customer").selectExpr("c_custkey", f"inline(array({made}))")
+    texts = spread(s.table("customer").select("c_custkey", "c_name"), 2000).selectExpr(
+        "c_custkey", f"inline(array({made}))"
+    )
     return texts.selectExpr("c_custkey", "variant", f"{P.is_json('text')} AS valid")
 
 
