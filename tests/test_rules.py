@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from admitflow.plans import dimensions, facts, gates, report, staging
 from admitflow.plans.history import event_history
@@ -295,3 +296,34 @@ def test_examples_of_all_rules_come_in_one_plan(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit [check_name" in plan and "Partial" in plan
     assert report.examples(extracts, ["applicants.row_count.minimum"]).collect() == []
+
+
+def test_examples_are_the_first_offenders_whatever_their_keys(spark):
+    """Repeated and missing keys, more offenders than asked for; whole rows are only fetched for the keys found."""
+    process = Process()
+    process.add_event("E3")
+    process.add_event("E3")
+    for i, event in enumerate(["E1", "E2", "E4", "E5", "E6", "E7", "E8"]):
+        process.event(event, event_outcome="?", application_id=f"PX{i}")
+    process.application("P2", applicant_id="AX", application_status="?")
+    frames = process.frames(spark)
+    events = frames["onboarding_events"]
+    unkeyed = events.where("event_id IN ('E1', 'E5', 'E9')").withColumn("event_id", F.lit(None).cast("string"))
+    frames["onboarding_events"] = events.union(unkeyed).union(unkeyed.limit(1))
+    extracts = report.Extracts.of(frames)
+    names = [name for source in frames for name in report.row_rules(source)]
+    names += [f"{EVENTS}.event_id.unique", *report.REFERENCES, *report.HISTORY_RULES, report.LAST_STATE]
+    found = report.examples(extracts, names, rows=3)
+    got = sorted((r["check_name"], r["place"], r["key"], r["offender"]) for r in found.collect())
+    expected = []
+    for name in names:
+        bad = report.offending(extracts, name)
+        key = {"applicants": "applicant_id", APPS: "application_id", EVENTS: "event_id"}[name.split(".")[0]]
+        key = key if key in bad.columns else "application_id"
+        first = bad.orderBy(F.col(key).asc_nulls_last(), *bad.columns).limit(3)
+        rows = first.select(key, F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("o")).collect()
+        expected += [(name, i, *row) for i, row in enumerate(rows, 1)]
+    assert len(expected) > 20
+    assert got == sorted(expected, key=lambda r: r[:2])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
