@@ -31,9 +31,10 @@ _RECORD = rf"^{_FIELD}(?:,{_FIELD})*$"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, file, block): a file stands by the hash of its path, which each of its lines carries."""
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("value").cast("binary").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
 
@@ -48,12 +49,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, b
     for batch in batches:
         if not batch.num_rows:
             continue
-        files = batch.column("file").dictionary_encode()
-        blocks = batch.column("block").to_numpy()
-        turns = np.flatnonzero((np.diff(files.indices.to_numpy()) != 0) | (np.diff(blocks) != 0)) + 1
+        files, blocks = batch.column("file").to_numpy(), batch.column("block").to_numpy()
+        turns = np.flatnonzero((np.diff(files) != 0) | (np.diff(blocks) != 0)) + 1
         for start, end in zip([0, *turns], [*turns, batch.num_rows]):
             run = batch.slice(start, end - start)
-            key = (files[int(start)].as_py(), int(blocks[start]))
+            key = (int(files[start]), int(blocks[start]))
             yield run, key != last
             last = key
 
@@ -61,7 +61,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, b
 class _Ends:
     """A split as far as the look goes: its quotes, and the lines at its ends."""
 
-    def __init__(self, file: str, block: int, carried: int):
+    def __init__(self, file: int, block: int, carried: int):
         self.key, self.quotes, self.odd, self.stray = (file, block), 0, False, False
         self._carried = carried
         self.head: list[bytes] | None = []  # up to the first odd line; None: too long
@@ -104,11 +104,11 @@ class _Ends:
 
 _ENDS = pa.schema(
     [
-        ("file", pa.string()), ("block", pa.int64()), ("turns", pa.int32()), ("odd", pa.bool_()),
+        ("file", pa.int64()), ("block", pa.int64()), ("turns", pa.int32()), ("odd", pa.bool_()),
         ("stray", pa.bool_()), ("head", pa.binary()), ("tail", pa.binary()),
     ]
 )
-_ENDS_SCHEMA = "file string, block long, turns int, odd boolean, stray boolean, head binary, tail binary"
+_ENDS_SCHEMA = "file long, block long, turns int, odd boolean, stray boolean, head binary, tail binary"
 
 
 def _look_task(carried: int):
@@ -160,6 +160,15 @@ _RECORDS = pa.schema([("record", pa.binary()), ("header", pa.bool_())])
 _RECORDS_SCHEMA = "record binary, header boolean"
 
 
+def _joined(lines: pa.Array, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of lines that follow each other from the first line on, each as one text: cut out of all lines' bytes."""
+    ended = pc.binary_join_element_wise(lines, b"", b"\n")
+    _, offsets, data = ended.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[ended.offset : ended.offset + len(ended) + 1]
+    cuts = pa.py_buffer(np.append(offsets[starts], offsets[ends[-1] + 1]))
+    return pc.binary_slice(pa.Array.from_buffers(pa.binary(), len(starts), [None, cuts, data]), 0, -1)
+
+
 class _Records:
     """The records that begin and end in one split."""
 
@@ -168,25 +177,35 @@ class _Records:
         self._open: list[bytes] = []
 
     def add(self, lines: pa.Array) -> pa.RecordBatch:
+        """The records that end in these lines, in order."""
         odd = (_quotes(lines) & 1).astype(bool)
-        after = (np.cumsum(odd) + self._inside) % 2 == 1
-        before = after ^ odd
+        outside = (np.cumsum(odd) + self._inside) % 2 == 0  # behind each line
+        ends = np.flatnonzero(outside)
+        if not len(ends):
+            self._inside = True
+            self._keep(lines)
+            return self._checked(pa.array([], pa.binary()))
+        starts = np.append(0, ends[:-1] + 1)
         blank = pc.is_in(lines, value_set=_BLANK).to_numpy(zero_copy_only=False)
-        whole, spread, joined = ~before & ~after & ~blank, np.flatnonzero(before | after), []
-        for i in spread:
-            self._open.append(lines[int(i)].as_py())
-            if not after[i]:
-                if not self._skipping:
-                    joined.append(b"\n".join(self._open))
-                self._open, self._skipping = [], False
-        self._inside = bool(after[-1])
-        parts = [lines.filter(pa.array(whole)), pa.array(joined, pa.binary())]
-        if len(spread) and not whole[: spread[0]].any():  # the first record of all stays the first
-            parts.reverse()
-        return self._checked(pa.concat_arrays(parts))
+        filled = ~((starts == ends) & blank[ends])
+        found, continued = _joined(lines, starts, ends), self._inside
+        if continued:
+            # The first record began in lines given before, or in another split.
+            first = b"\n".join([*self._open, found[0].as_py()])
+            found = pa.concat_arrays([pa.array([] if self._skipping else [first], pa.binary()), found[1:]])
+            filled = np.append([] if self._skipping else [True], filled[1:]).astype(bool)
+            self._open, self._skipping = [], False
+        self._inside = not outside[-1]
+        self._keep(lines[int(ends[-1]) + 1 :])
+        return self._checked(found if filled.all() else found.filter(pa.array(filled)))
+
+    def _keep(self, lines: pa.Array) -> None:
+        if not self._skipping:
+            self._open += lines.to_pylist()
 
     def _checked(self, records: pa.Array) -> pa.RecordBatch:
-        records = pc.replace_substring_regex(records, r"\r$", "")
+        if pc.any(pc.ends_with(records, b"\r"), min_count=0).as_py():
+            records = pc.replace_substring_regex(records, r"\r$", "")
         if not pc.all(pc.match_substring_regex(records, _RECORD), min_count=0).as_py():
             raise ValueError("a quote stands inside a field without quotes: read such files whole")
         header = np.zeros(len(records), bool)

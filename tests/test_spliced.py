@@ -2,6 +2,7 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,19 @@ def test_no_line_breaks_need_no_splicing(small_splits, tmp_path):
     path.write_text('id,note\n1,"a, ""b"""\n')
     assert not spliced.look(small_splits, str(path)).line_breaks
     assert values(extracts.read_csv(small_splits, str(path))) == [("1", 'a, "b"')]
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 50])
+def test_records_of_a_split_come_in_order(step):
+    lines = [b"a,b", b'1,"x', b"", b'y"', b"", b"2,z\r", b"\r", b'3,"p', b'"', b'4,"q""', b'r"\r', b'5,"left']
+    for inside, expected in [
+        (False, [b"a,b", b'1,"x\n\ny"', b"2,z", b'3,"p\n"', b'4,"q""\nr"']),
+        (True, [b"a,b", b'1,"x\n\ny"', b"2,z", b'3,"p\n"', b'4,"q""\nr"']),
+    ]:
+        given = [b"cut", b'off"', *lines] if inside else lines
+        records, found = spliced._Records(inside, not inside), []
+        for at in range(0, len(given), step):
+            batch = records.add(pa.array(given[at : at + step], pa.binary()))
+            found += zip(batch.column("record").to_pylist(), batch.column("header").to_pylist())
+        assert [r for r, _ in found] == expected
+        assert [h for _, h in found] == [not inside] + [False] * 4
