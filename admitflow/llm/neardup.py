@@ -201,7 +201,7 @@ def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> Dat
     """Confirmed links (a, b) that connect all that is connected."""
     posted = _posted(classes).withColumn("component", F.col("id"))
     members = stored(_open(stored(posted, "postings")), "members")
-    sets = stored(sets_of(members.select("id").distinct()), "sets")
+    sets = stored(sets_of(stored(members.select("id").distinct(), "ids")), "sets")
     tried = links = None
     for turn in itertools.count():
         # Pivots: a member of the first component, one of the last, and one that changes from turn to turn.
@@ -236,6 +236,29 @@ def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> Dat
     return links.union(_confirmed(stored(_agreeing(crossed, classes), "pairs"), sets))
 
 
+# Bits that stand for ids among which texts are looked for: some per id, so many at most (8 MB).
+_BITS_PER_ID = 16
+_MOST_BITS = 1 << 26
+# Bits that one row of Spark's bitmaps holds.
+_ROW_BITS = 1 << 15
+
+
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` (doc_id, ...) whose doc_id may be among ``ids`` (id); none that is goes missing.
+
+    Ids set bits of a map by their hash. It is bounded and broadcast, so texts that are surely not wanted are dropped
+    where they are read, and a join that follows shuffles few others.
+    """
+    bits = min(_MOST_BITS, max(_ROW_BITS, 1 << (_BITS_PER_ID * ids.count()).bit_length()))
+    place = lambda name: F.pmod(F.xxhash64(name), F.lit(bits))
+    row, bit = (lambda name: F.floor(place(name) / _ROW_BITS)), (lambda name: F.pmod(place(name), F.lit(_ROW_BITS)))
+    maps = ids.groupBy(row("id").alias("__row")).agg(F.bitmap_construct_agg(bit("id")).alias("__bits"))
+    byte = F.substring("__bits", F.floor(bit("doc_id") / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit("doc_id"), F.lit(8)).cast("int")) == 1
+    found = rows.join(F.broadcast(maps), (row("doc_id") == F.col("__row")) & is_set)
+    return found.select(*rows.columns)
+
+
 def group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id) of every row that has an id.
 
@@ -257,7 +280,7 @@ def group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = rows.where(F.col("doc_id").isNotNull())
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+        wanted = _likely(texts, ids).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
         return wanted.mapInArrow(_sets, "id long, set binary").where(F.length("set") > 0).distinct()
 
     links = _links(classes.select("id", "size", "signature"), sets_of)

@@ -91,3 +91,13 @@ def test_long_words_that_differ_are_not_one(spark):
     docs = [(i, word, None) for i, word in enumerate(twins())]
     frame = spark.createDataFrame(docs, "doc_id long, text string, extra int")
     assert [r.kept for r in neardup.group(spark, frame).collect()] == [True, True]
+
+
+@pytest.mark.parametrize("wanted", [[], [3], range(-50, 20_000, 7)])
+def test_few_texts_besides_the_wanted_ones_are_kept(spark, wanted):
+    """Only these are shuffled; before, every text was."""
+    rows = spark.range(-1000, 30_000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    ids = spark.createDataFrame([(i,) for i in wanted], "id long")
+    found = [r.doc_id for r in neardup._likely(rows, ids).collect()]
+    assert len(found) == len(set(found)) and set(found) >= set(wanted)
+    assert len(found) <= len(wanted) + 0.2 * 31_000
