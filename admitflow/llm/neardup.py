@@ -5,7 +5,8 @@ each of its signature's coordinate-value pairs. Two sets that are similar enough
 each class only the rarest pairs have to be looked at (the prefix); pairs that nobody shares are skipped altogether. In a
 posting list the members are compared with a few pivots only, again and again. What these comparisons connect is one
 component, and lists within one component are skipped from then on. Once the pivots find nothing more, the members of
-different components that are left in a list are compared with each other. Candidates must agree in enough coordinates and are then confirmed on their whole sets.
+different components that are left in a list are compared with each other, as far as they share one of the rarest runs of
+their whole sets. Candidates must agree in enough coordinates and are then confirmed on their whole sets.
 """
 
 from __future__ import annotations
@@ -119,9 +120,37 @@ def _posted(classes: DataFrame) -> DataFrame:
     return ranked.where(F.col("place") <= F.col("shared") - (LEAST_MATCHES - 1)).select("coordinate", "value", "id")
 
 
+# Bits that stand for ids among which texts are looked for: some per id, so many at most (8 MB).
+_BITS_PER_ID = 16
+_MOST_BITS = 1 << 26
+# Bits that one row of Spark's bitmaps holds.
+_ROW_BITS = 1 << 15
+
+
+def _likely(rows: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The ``rows`` whose column ``name`` may be among ``ids`` (id); none that is goes missing.
+
+    Ids set bits of a map by their hash. It is bounded and broadcast, so rows that are surely not wanted are dropped
+    where they are read, and a join that follows shuffles few others.
+    """
+    bits = min(_MOST_BITS, max(_ROW_BITS, 1 << (_BITS_PER_ID * ids.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    row, bit = (lambda c: F.floor(place(c) / _ROW_BITS)), (lambda c: F.pmod(place(c), F.lit(_ROW_BITS)))
+    maps = ids.groupBy(row("id").alias("__row")).agg(F.bitmap_construct_agg(bit("id")).alias("__bits"))
+    byte = F.substring("__bits", F.floor(bit(name) / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit(name), F.lit(8)).cast("int")) == 1
+    found = rows.join(F.broadcast(maps), (row(name) == F.col("__row")) & is_set)
+    return found.select(*rows.columns)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose sizes allow the similarity and whose signatures agree in enough coordinates."""
-    side = lambda name: classes.select(
+    wanted = _likely(classes, _ends(pairs), "id")
+    side = lambda name: wanted.select(
         F.col("id").alias(name), F.col("signature").alias(f"s{name}"), F.col("size").alias(f"n{name}")
     )
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -131,8 +160,9 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that are similar on their whole sets."""
-    side = lambda name: sets.select(F.col("id").alias(name), F.col("set").alias(f"s{name}"))
+    """The pairs that are similar on their whole sets. Sets of no pair are left where they are read."""
+    wanted = _likely(sets, _ends(pairs), "id")
+    side = lambda name: wanted.select(F.col("id").alias(name), F.col("set").alias(f"s{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
     return both.mapInArrow(_confirm, "a long, b long, good boolean").where("good").select("a", "b")
 
@@ -162,46 +192,87 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """Members of the lists that still hold different components."""
-    lists = members.groupBy("coordinate", "value").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    )
-    return members.join(lists.where("least < most").drop("least", "most"), ["coordinate", "value"])
+def _open(members: DataFrame, *keys: str) -> DataFrame:
+    """Members of the lists (``keys``) that still hold different components."""
+    lists = members.groupBy(*keys).agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return members.join(lists.where("least < most").drop("least", "most"), list(keys))
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc_id, component, value in zip(*(batch.column(k) for k in range(3))):
+        for *fixed, value in zip(*batch.columns):
             hashes = np.frombuffer(value.as_py(), np.int64)
-            same = [pa.array(np.full(len(hashes), v.as_py())) for v in (doc_id, component)]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(hashes)], ["id", "component", "hash"])
+            same = [pa.array(np.full(len(hashes), v.as_py())) for v in fixed]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(hashes)], ["id", "key", "component", "hash"])
 
 
 # A pair of sets shares at least 75/175 of their sizes' sum: the intersection's part of 1.75 times itself.
 _SHARED = 100 + LEAST_PERCENT
+# Sizes of one class differ by this factor at most.
+_SIZE_STEP = 1.1
 
 
-def _reaching(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``members`` with the size of their set and how much of it any other component here has (reach).
+def _meeting(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): the pairs of different components whose sets share enough of their rarest runs to be similar.
 
-    No pair across components can share more than the smaller reach. Members that cannot be similar to anything are
-    left out. The pairs within a large group of distant relatives are so excluded before they are formed.
+    Of a member's set only the runs that another component here has too can count (reach). With a set of a given size it
+    has to share a number of them, so it has to share one of its rarest: as many as are left once one less than that
+    number is taken off the most frequent end. A member is posted under these runs, once for each class of sizes that
+    its partner may have. What a whole group has in common is so posted by those alone that lack little of it, and
+    distant relatives of a large group do not meet its members, however many of either there are. A pair that meets in
+    its rarest common run shares no more than either has from there on.
     """
-    ids = members.select("id", "component").distinct().join(sets, "id")
-    rows = stored(ids.select("id", "component", "set").mapInArrow(_shingles, "id long, component long, hash long"), "runs")
-    across = rows.groupBy("hash").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    reach = rows.join(across.where("least < most"), "hash").groupBy("id").agg(F.count("*").alias("reach"))
-    sizes = ids.select("id", (F.length("set") / 8).cast("long").alias("size")).join(reach, "id")
-    able = sizes.where(100 * F.col("reach") >= LEAST_PERCENT * F.col("size"))
-    return members.join(able, "id")
+    ids = stored(members.select("id", "component").distinct(), "ids")
+    whole = _likely(sets, ids, "id").join(ids, "id").select("id", "key", "component", "set")
+    rows = stored(whole.mapInArrow(_shingles, "id long, key long, component long, hash long"), "runs")
+    across = rows.groupBy("hash").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
+    )
+    shared = rows.join(across.where("least < most").select("hash", "n"), "hash")
+    of_set = Window.partitionBy("id", "key")
+    place = F.row_number().over(of_set.orderBy("n", "hash"))
+    ranked = shared.select("*", place.alias("place"), F.count("*").over(of_set).alias("reach"))
+    # The prefix of a set of ``size`` runs of which ``needed`` are to be shared.
+    prefix = lambda needed: F.col("place") <= F.col("reach") - needed + 1
+    rarest = ranked.join(sets.select("id", "key", "size"), ["id", "key"]).where(
+        prefix(F.ceil(LEAST_PERCENT * F.col("size") / 100))
+    )
+    own = F.floor(F.log("size") / F.log(F.lit(_SIZE_STEP))).cast("int")
+    rarest = stored(rarest.withColumn("own", own).drop("n"), "runs")
+    classes = rarest.groupBy(F.col("own").alias("other")).agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    smallest = F.greatest("least", F.ceil(LEAST_PERCENT * F.col("size") / 100))
+    near = (100 * F.col("most") >= LEAST_PERCENT * F.col("size")) & (100 * F.col("size") >= LEAST_PERCENT * F.col("least"))
+    needed = F.ceil(LEAST_PERCENT * (F.col("size") + smallest) / _SHARED)
+    posted = rarest.join(F.broadcast(classes), near & prefix(needed)).select(
+        "hash",
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        "own",
+        "id",
+        "component",
+        "size",
+        (F.col("reach") - F.col("place") + 1).alias("left"),
+    )
+    posted = stored(_open(stored(posted, "rarest"), "hash", "low", "high"), "rarest")
+    left, right = posted.alias("l"), posted.alias("r")
+    on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in ("hash", "low", "high")]
+    on += [
+        F.col("l.component") < F.col("r.component"),
+        (F.col("l.low") == F.col("l.high")) | (F.col("l.own") != F.col("r.own")),
+        _SHARED * F.least("l.left", "r.left") >= LEAST_PERCENT * (F.col("l.size") + F.col("r.size")),
+    ]
+    return _ordered(left.join(right, on), "l.id", "r.id")
 
 
 def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Confirmed links (a, b) that connect all that is connected."""
     posted = _posted(classes).withColumn("component", F.col("id"))
-    members = stored(_open(stored(posted, "postings")), "members")
-    sets = stored(sets_of(stored(members.select("id").distinct(), "ids")), "sets")
+    lists = ("coordinate", "value")
+    members = stored(_open(stored(posted, "postings"), *lists), "members")
+    sets = sets_of(stored(members.select("id").distinct(), "ids"))
+    # An id may have several sets, told apart by their key.
+    size, key = (F.length("set") / 8).cast("long"), F.xxhash64("set")
+    sets = stored(sets.select("id", key.alias("key"), size.alias("size"), "set"), "sets")
     tried = links = None
     for turn in itertools.count():
         # Pivots: a member of the first component, one of the last, and one that changes from turn to turn.
@@ -213,7 +284,7 @@ def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> Dat
         pairs = _ordered(starred.where("p.component <> component"), "id", "p.id")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        new = stored(_agreeing(pairs, classes), "pairs")
+        new = stored(_agreeing(stored(pairs, "pairs"), classes), "pairs")
         found = stored(_confirmed(new, sets), "links")
         tried = new if tried is None else tried.union(new)
         links = found if links is None else links.union(found)
@@ -223,42 +294,11 @@ def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> Dat
         labelled = members.join(known, F.col("id") == F.col("i"), "left").select(
             "coordinate", "value", "id", F.coalesce("c", "component").alias("component")
         )
-        members = stored(_open(stored(labelled, "members")), "members")
-    members = stored(_reaching(members, sets), "members")
-    left, right = members.alias("l"), members.alias("r")
-    on = (
-        (F.col("l.coordinate") == F.col("r.coordinate"))
-        & (F.col("l.value") == F.col("r.value"))
-        & (F.col("l.component") < F.col("r.component"))
-        & (_SHARED * F.least("l.reach", "r.reach") >= LEAST_PERCENT * (F.col("l.size") + F.col("r.size")))
-    )
-    crossed = _ordered(left.join(right, on), "l.id", "r.id").join(tried, ["a", "b"], "left_anti")
+        members = stored(_open(stored(labelled, "members"), *lists), "members")
+    crossed = stored(_meeting(members, sets).join(tried, ["a", "b"], "left_anti"), "pairs")
     return links.union(_confirmed(stored(_agreeing(crossed, classes), "pairs"), sets))
 
 
-# Bits that stand for ids among which texts are looked for: some per id, so many at most (8 MB).
-_BITS_PER_ID = 16
-_MOST_BITS = 1 << 26
-# Bits that one row of Spark's bitmaps holds.
-_ROW_BITS = 1 << 15
-
-
-def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The ``rows`` (doc_id, ...) whose doc_id may be among ``ids`` (id); none that is goes missing.
-
-    Ids set bits of a map by their hash. It is bounded and broadcast, so texts that are surely not wanted are dropped
-    where they are read, and a join that follows shuffles few others.
-    """
-    bits = min(_MOST_BITS, max(_ROW_BITS, 1 << (_BITS_PER_ID * ids.count()).bit_length()))
-    place = lambda name: F.pmod(F.xxhash64(name), F.lit(bits))
-    row, bit = (lambda name: F.floor(place(name) / _ROW_BITS)), (lambda name: F.pmod(place(name), F.lit(_ROW_BITS)))
-    maps = ids.groupBy(row("id").alias("__row")).agg(F.bitmap_construct_agg(bit("id")).alias("__bits"))
-    byte = F.substring("__bits", F.floor(bit("doc_id") / 8).cast("int") + 1, F.lit(1))
-    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit("doc_id"), F.lit(8)).cast("int")) == 1
-    found = rows.join(F.broadcast(maps), (row("doc_id") == F.col("__row")) & is_set)
-    return found.select(*rows.columns)
-
-
 def group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id) of every row that has an id.
 

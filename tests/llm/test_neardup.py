@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from admitflow.llm import neardup
@@ -101,3 +102,50 @@ def test_few_texts_besides_the_wanted_ones_are_kept(spark, wanted):
     found = [r.doc_id for r in neardup._likely(rows, ids).collect()]
     assert len(found) == len(set(found)) and set(found) >= set(wanted)
     assert len(found) <= len(wanted) + 0.2 * 31_000
+
+
+def test_relatives_of_a_large_group_do_not_meet_its_members(spark, monkeypatch):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(2000)]
+    body = rng.choices(words, k=150)
+    rows = [(1, " ".join(body), "x", "y", "z")]
+    for i in range(2, 242):
+        copy = list(body)
+        # Half are linked with the first, half share too little with it, though most of their words.
+        for at in rng.sample(range(len(copy)), rng.choice([1, 2, 3]) if i % 2 else rng.randint(6, 12)):
+            copy[at] = rng.choice(words)
+        rows.append((i, " ".join(copy[: rng.choice([150, 150, 148, 143])]), "x", "y", "z"))
+    # Links that no pivot needs to find: copies of relatives, shorter and longer.
+    rows += [(i + 1000, t + " more words", *rest) for i, t, *rest in rows if i % 10 == 2]
+    formed, agreeing = [], neardup._agreeing
+
+    def counted(pairs, classes):
+        formed.append(pairs.count())
+        return agreeing(pairs, classes)
+
+    monkeypatch.setattr(neardup, "_agreeing", counted)
+    found = {r.doc_id: r.component_id for r in neardup.group(spark, spark.createDataFrame(rows, DOCS)).collect()}
+    expected = brute(rows)
+    assert found == expected and len(set(expected.values())) > 80
+    # Members of different components that are compared in the end: there are some 120 * 120 such pairs.
+    assert formed[-1] < 500
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pairs_that_are_similar_meet(spark, seed):
+    rng = random.Random(seed)
+    core = rng.sample(range(10**6), 60)
+    sets = [sorted({*rng.sample(core, rng.randint(40, 60)), *rng.sample(range(200), rng.randint(0, 12))}) for _ in range(120)]
+    component = [i // 2 for i in range(len(sets))]
+    members = spark.createDataFrame(list(enumerate(component)), "id long, component long")
+    held = [(i, 0, len(s), np.array(s, np.uint64).tobytes()) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(held, "id long, key long, size long, set binary")
+    found = {tuple(r) for r in neardup._meeting(members, frame).collect()}
+    similar = {
+        (a, b)
+        for b in range(len(sets))
+        for a in range(b)
+        if component[a] != component[b] and 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})
+    }
+    assert len(similar) > 20 and similar <= found
+    assert all(component[a] != component[b] for a, b in found)
