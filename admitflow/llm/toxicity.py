@@ -12,20 +12,22 @@ ones more; the vote is turned into a probability by the vote that the learning r
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from admitflow.llm.common import first_by_hash, held_out
+from admitflow.llm.common import bounded_runs, first_by_hash, held_out
+from admitflow.llm.wordhash import BASE, mix
 
 # Bound of what is learnt: examples of each label, a parameter of fit().
 EXAMPLES_PER_LABEL = 1000
@@ -37,8 +39,14 @@ BLOCK = 64
 # At most so many terms lie in the matrix, and of these only those that one example in so many has.
 DENSE_TERMS = 1024
 DENSE_PART = 64
-# Documents whose matrix parts are computed together.
+# Documents whose terms and matrix parts are computed together.
 TOGETHER = 64
+# Characters of texts whose words are cut together; a longer text is a run of its own.
+RUN_CHARACTERS = 1 << 19
+# Words whose terms a task remembers: 2 to this power.
+_TABLE_POWER = 20
+# Hashes of terms without example are remembered up to this, so that those of TOGETHER texts fit a word.
+_UNKNOWN = 1 << 55
 # Similarity that a vote for "not toxic" without any example counts as; keeps weak evidence near zero.
 PRIOR_VOTE = 0.2
 THRESHOLD = 0.3
@@ -68,31 +76,98 @@ def _hashes(text: Column) -> Column:
     return found
 
 
-class Terms(dict):
-    """Numbers of the terms of a word, remembered per word up to a bound.
+@cache
+def _alphabet() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point whether words hold it, and a number that stands for it in hashes."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    letter = np.zeros(len(every), bool)
+    for run in _WORD.finditer(every):
+        letter[run.start() : run.end()] = True
+    return letter, mix(np.arange(1, len(every) + 1, dtype=np.uint64))
 
-    Terms that no example has get the number of their class, after all others.
+
+def _powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers)
+
+
+class Terms:
+    """Numbers of the terms of words, remembered for as many words as a table of fixed size holds.
+
+    Terms that no example has get the number of their class, after all others; what is remembered of them is the hash that
+    the class is taken from. Within the table words are told apart by 64 bits, taken from sums over all characters of a
+    run of texts; a word is only cut out if it is not there yet.
     """
 
     def __init__(self, numbers: dict[str, int]):
-        super().__init__()
         self._numbers = numbers
+        self._words = np.zeros(1 << _TABLE_POWER, np.uint64)
+        self._terms = np.empty((1 << _TABLE_POWER, 1 + len(STEM_LENGTHS)), np.int64)
+        self._rising = self._falling = np.empty(0, np.uint64)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def _of_word(self, word: str) -> list[int]:
         get, classes = self._numbers.get, len(self._numbers)
         found = []
         for term in stems(word):
             number = get(term)
-            found.append(classes + _hash(term) % CLASSES if number is None else number)
-        if len(self) >= 300_000:
-            self.clear()
-        self[word] = found
+            found.append(classes + _hash(term) % _UNKNOWN if number is None else number)
+        return found + [-1] * (1 + len(STEM_LENGTHS) - len(found))
+
+    def _of_words(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words of a text in lower case start, and the terms of each (-1: none)."""
+        letter, value = _alphabet()
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(self._rising) < len(codes):
+            size = 1 << len(codes).bit_length()
+            self._rising, self._falling = _powers(int(BASE), size), _powers(pow(int(BASE), -1, 1 << 64), size)
+        edges = np.flatnonzero(np.diff(letter[codes], prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(value[codes] * self._rising[: len(codes)], out=sums[1:])
+        words = mix((sums[ends] - sums[starts]) * self._falling[starts]) | np.uint64(1)
+        places = words >> np.uint64(64 - _TABLE_POWER)
+        terms = self._terms[places]
+        new = np.flatnonzero(self._words[places] != words)
+        if len(new):
+            _, first, which = np.unique(words[new], return_index=True, return_inverse=True)
+            cut = zip(starts[new[first]].tolist(), ends[new[first]].tolist())
+            found = np.array([self._of_word(text[a:b]) for a, b in cut], np.int64)
+            terms[new] = found[which]
+            # Of words with one place the last stays.
+            self._words[places[new]] = words[new]
+            self._terms[places[new]] = terms[new]
+        return starts, terms
+
+    def _placed(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of every term of every word the place of its text, and the term."""
+        lower = [text.lower() for text in texts]
+        borders = np.cumsum([len(text) + 1 for text in lower])
+        starts, terms = self._of_words("\n".join(lower))
+        places, some = np.searchsorted(borders, starts, "right"), terms >= 0
+        return np.repeat(places, some.sum(axis=1)), terms[some]
+
+    def _folded(self, terms: np.ndarray) -> np.ndarray:
+        classes = len(self._numbers)
+        return np.where(terms < classes, terms, classes + ((terms - classes) & (CLASSES - 1)))
+
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The distinct terms of each text in rising order, and how often it has each."""
+        found, width = [], len(self._numbers) + CLASSES
+        for run in bounded_runs(texts, len, RUN_CHARACTERS):
+            places, terms = self._placed(run)
+            keys, times = np.unique(places * width + self._folded(terms), return_counts=True)
+            ends = np.searchsorted(keys, np.arange(len(run) + 1) * width)
+            found += [(keys[a:b] - k * width, times[a:b]) for k, (a, b) in enumerate(zip(ends, ends[1:]))]
         return found
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct terms of a text, and how often it has each."""
-        found = chain.from_iterable(map(self.__getitem__, _WORD.findall(text.lower())))
-        return np.unique(np.fromiter(found, np.int32), return_counts=True)
+    def add_to(self, frequency: np.ndarray, texts: list[str]) -> None:
+        """Count each term of each text once, classes once for each of their terms."""
+        for run in bounded_runs(texts, len, RUN_CHARACTERS):
+            places, terms = self._placed(run)
+            keys = np.sort(places * (2 * _UNKNOWN) + terms)
+            keys = keys[np.diff(keys, prepend=-1) != 0]
+            np.add.at(frequency, self._folded(keys & (2 * _UNKNOWN - 1)), 1)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -255,20 +330,32 @@ def _evidence(terms: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.nd
     return np.maximum(evidence, 0)
 
 
+def _together(texts: pa.Array) -> Iterator[list[str]]:
+    for start in range(0, len(texts), TOGETHER):
+        yield [text or "" for text in texts.slice(start, TOGETHER).to_pylist()]
+
+
 def _document_frequencies(docs: DataFrame, numbers: dict[str, int]) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term or class, over all documents.
 
-    Counted in the JVM: a document gives each of its terms once, and counts are added up before the shuffle. What is
-    broadcast are the hashes of the examples' terms; what comes back is one row per term or class at most.
+    A task adds its documents up in one array, so it hands on a row per term or class at most; these are summed on Spark,
+    and as many come back at most.
     """
-    spark = docs.sparkSession
-    hashes = np.fromiter(map(_hash, numbers), np.uint64, len(numbers)).view(np.int64)
-    known = spark.createDataFrame(pd.DataFrame({"hash": hashes, "number": np.arange(len(numbers))}), "hash long, number long")
-    terms = docs.select(F.explode(_hashes(F.col("text").cast("string"))).alias("hash")).join(F.broadcast(known), "hash", "left")
-    unknown = F.lit(len(numbers)) + F.pmod("hash", F.lit(CLASSES))
-    counted = terms.groupBy(F.coalesce("number", unknown).alias("term")).agg(F.count("*").alias("n")).toArrow()
+    shipped = docs.sparkSession.sparkContext.broadcast(numbers)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(shipped.value)
+        found = np.zeros(len(shipped.value) + CLASSES, np.int64)
+        for batch in batches:
+            for texts in _together(batch.column(0)):
+                terms.add_to(found, texts)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], ["term", "n"])
+
+    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, "term long, n long")
+    summed = parts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     frequency = np.zeros(len(numbers) + CLASSES)
-    frequency[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
+    frequency[summed.column("term").to_numpy()] = summed.column("n").to_numpy()
     return docs.count(), frequency
 
 
@@ -357,9 +444,8 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, **bounds: int
         terms = Terms(model.value.numbers)
         for batch in batches:
             scores, near = [], []
-            for start in range(0, batch.num_rows, TOGETHER):
-                texts = batch.column(at).slice(start, TOGETHER)
-                for value, ids in model.value.scores([terms.of(text.as_py() or "") for text in texts]):
+            for texts in _together(batch.column(at)):
+                for value, ids in model.value.scores(terms.of(texts)):
                     scores.append(value)
                     near.append(ids)
             columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]

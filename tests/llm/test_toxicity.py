@@ -181,3 +181,30 @@ def test_labels_without_documents_take_no_place(spark):
         return sorted((r.doc_id, r.toxic) for r in found.collect())
 
     assert learnt(labels) == learnt(labels + ghosts) and len(learnt(labels)) == 40
+
+
+def test_terms_are_counted_by_document(spark):
+    # So many words that some share a class.
+    many = " ".join(chr(97 + n % 26) * 3 + chr(97 + n // 26 % 26) * 3 + chr(97 + n // 676) for n in range(3000))
+    texts = ["alpha ALPHA alphabet beta", "", None, "İstanbul ½ beta x_y", "alphabetical beta1beta", many]
+    numbers = {term: n for n, term in enumerate(["alpha.", "alpha", "beta.", "alphabet."])}
+
+    def expected(text):
+        times = {}
+        for word in toxicity._WORD.findall((text or "").lower()):
+            for term in toxicity.stems(word):
+                place = numbers.get(term, len(numbers) + toxicity._hash(term) % toxicity.CLASSES)
+                times[place] = times.get(place, 0) + 1
+        return times
+
+    terms = toxicity.Terms(numbers)
+    for _ in range(2):
+        found = terms.of([text or "" for text in texts])
+        assert [dict(zip(a.tolist(), b.tolist())) for a, b in found] == [expected(text) for text in texts]
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(3)
+    total, frequency = toxicity._document_frequencies(docs, numbers)
+    wanted = np.zeros(len(frequency))
+    for text in texts * 2:
+        for term in {t for w in toxicity._WORD.findall((text or "").lower()) for t in toxicity.stems(w)}:
+            wanted[numbers.get(term, len(numbers) + toxicity._hash(term) % toxicity.CLASSES)] += 1
+    assert total == 12 and (frequency == wanted).all()
