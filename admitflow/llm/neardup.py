@@ -3,10 +3,11 @@
 A document's set holds its distinct five-word runs. Documents with equal sets are one class. A class is posted under
 each of its signature's coordinate-value pairs. Two sets that are similar enough agree in a number of coordinates, so of
 each class only the rarest pairs have to be looked at (the prefix); pairs that nobody shares are skipped altogether. In a
-posting list the members are compared with a few pivots only, again and again. What these comparisons connect is one
-component, and lists within one component are skipped from then on. Once the pivots find nothing more, the members of
-different components that are left in a list are compared with each other, as far as they share one of the rarest runs of
-their whole sets. Candidates must agree in enough coordinates and are then confirmed on their whole sets.
+posting list the members are compared with pivots only, turn by turn, and each with the few that it meets in most lists.
+What these comparisons connect is one component, and lists within one component are skipped from then on. Once the pivots
+find little more, all members of different components that are left in a list are compared with each other, as far as
+they share one of the rarest runs of their whole sets; so pivots decide on the work, not on the result. Candidates must
+agree in enough coordinates and are then confirmed on their whole sets.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ LEAST_PERCENT = 75
 # hardly ever. The higher the threshold, the shorter the prefix: what a third of the text shares is then not posted.
 COORDINATES = 64
 LEAST_MATCHES = 34
+# Pivots that a member is compared with in one turn: those it meets in most lists.
+PIVOTS_A_TURN = 3
+# A turn that finds fewer links is the last one with pivots.
+FEW_LINKS = 100
 # Bytes of text that one pass over arrays holds.
 PASS_BYTES = 1 << 22
 
@@ -167,25 +172,40 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm, "a long, b long, good boolean").where("good").select("a", "b")
 
 
+def _roots(edges: DataFrame) -> DataFrame:
+    """(id, root) of every id in ``edges``: each follows its smallest neighbour down, as long as one is smaller."""
+    both = edges.select("a", "b").union(edges.select("b", "a"))
+    roots = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
+    while True:
+        further = roots.select(F.col("id").alias("root"), F.col("root").alias("further"))
+        moved = (F.col("further") < F.col("root")).alias("moved")
+        jumped = stored(roots.join(further, "root").select("id", F.col("further").alias("root"), moved), "roots")
+        roots = jumped.select("id", "root")
+        if not jumped.where("moved").limit(1).count():
+            return roots
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) of every id in ``links`` (a, b): the smallest id reachable.
+    """(id, component) of every id in ``links`` (a, b; two ids each): the smallest id reachable.
 
-    Each round hands the smallest label to the neighbours and then follows labels to their own; the table is written
-    after each round, so a lost executor costs one round at most.
+    In each round every id becomes one with its root, and only links between different roots are left for the next. A
+    root takes at least one neighbour in, so the ids left are halved, and links within a large group are read but once.
+    The tables are written after each round, so a lost executor costs one round at most.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
+    edges, labels = stored(_ordered(links, "a", "b"), "edges"), None
     while True:
-        near = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, "a").select("a", "label", F.least("label", "near").alias("found"))
-        further = labels.select(F.col("a").alias("found"), F.col("label").alias("further"))
-        jumped = lower.join(further, "found").select(
-            "a", F.least("found", "further").alias("label"), (F.least("found", "further") < F.col("label")).alias("moved")
-        )
-        new = stored(jumped, "labels")
-        labels = new.select("a", "label")
-        if not new.where("moved").limit(1).count():
-            return labels.select(F.col("a").alias("id"), F.col("label").alias("component"))
+        roots = _roots(edges)
+        if labels is None:
+            labels = roots.withColumnRenamed("root", "component")
+        else:
+            later = roots.select(F.col("id").alias("component"), F.col("root"))
+            moved = labels.join(later, "component", "left")
+            labels = stored(moved.select("id", F.coalesce("root", "component").alias("component")), "labels")
+        side = lambda end: roots.select(F.col("id").alias(end), F.col("root").alias(f"r{end}"))
+        between = edges.join(side("a"), "a").join(side("b"), "b").where("ra <> rb")
+        edges = stored(_ordered(between, "ra", "rb"), "edges")
+        if not edges.limit(1).count():
+            return labels
 
 
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
@@ -279,22 +299,30 @@ def _links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> Dat
         drawn = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("component"), F.col("id"))
         own = F.struct(F.lit(0).alias("h"), F.col("component"), F.col("id"))
         pivots = members.groupBy("coordinate", "value").agg(F.array(F.min(own), F.max(own), F.min(drawn)).alias("p"))
-        pivots = pivots.select("coordinate", "value", F.transform("p", lambda p: p.dropFields("h")).alias("p"))
+        once = F.array_distinct(F.transform("p", lambda p: p.dropFields("h")))
+        pivots = pivots.select("coordinate", "value", once.alias("p"))
         starred = members.join(pivots, ["coordinate", "value"]).select("id", "component", F.explode("p").alias("p"))
-        pairs = _ordered(starred.where("p.component <> component"), "id", "p.id")
+        met = starred.where("p.component <> component").groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("n"))
+        met = met.select("id", "n", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        new = stored(_agreeing(stored(pairs, "pairs"), classes), "pairs")
-        found = stored(_confirmed(new, sets), "links")
+            met = met.join(tried, ["a", "b"], "left_anti")
+        place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("n"), "a", "b"))
+        nearest = met.withColumn("place", place).where(F.col("place") <= PIVOTS_A_TURN)
+        new = stored(_ordered(nearest, "a", "b"), "pairs")
+        found = stored(_confirmed(stored(_agreeing(new, classes), "pairs"), sets), "links")
         tried = new if tried is None else tried.union(new)
         links = found if links is None else links.union(found)
-        if not found.count():
+        n_found = found.count()
+        if n_found:
+            known = components(links).withColumnRenamed("id", "i").withColumnRenamed("component", "c")
+            # One link for each member says what all links so far do: they are not read again.
+            links = known.where("c <> i").select(F.col("c").alias("a"), F.col("i").alias("b"))
+            labelled = members.join(known, F.col("id") == F.col("i"), "left").select(
+                "coordinate", "value", "id", F.coalesce("c", "component").alias("component")
+            )
+            members = stored(_open(stored(labelled, "members"), *lists), "members")
+        if n_found < FEW_LINKS:
             break
-        known = components(links).withColumnRenamed("id", "i").withColumnRenamed("component", "c")
-        labelled = members.join(known, F.col("id") == F.col("i"), "left").select(
-            "coordinate", "value", "id", F.coalesce("c", "component").alias("component")
-        )
-        members = stored(_open(stored(labelled, "members"), *lists), "members")
     crossed = stored(_meeting(members, sets).join(tried, ["a", "b"], "left_anti"), "pairs")
     return links.union(_confirmed(stored(_agreeing(crossed, classes), "pairs"), sets))
 

@@ -149,3 +149,86 @@ def test_pairs_that_are_similar_meet(spark, seed):
     }
     assert len(similar) > 20 and similar <= found
     assert all(component[a] != component[b] for a, b in found)
+
+
+def tops(links):
+    """The smallest id reachable from every id, from all links."""
+    parent = {i: i for link in links for i in link}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        parent[y] = x
+    return {i: top(i) for i in parent}
+
+
+def hubs_and_chain():
+    """Members linked with each of ten hubs, a chain that goes up and down, and loose pairs."""
+    links = [(hub, 1000 + i) for i in range(300) for hub in range(100, 110)]
+    order = random.Random(4).sample(range(5000, 5060), 60)
+    return links + list(zip(order, order[1:])) + [(9001, 9000), (9001, 9002), (9000, 9001)]
+
+
+def test_components_are_the_smallest_ids_reachable(spark):
+    links = hubs_and_chain()
+    found = neardup.components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == sorted(tops(links).items())
+    assert neardup.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_links_within_a_large_group_are_read_once(spark, monkeypatch):
+    """Before, every round joined every link, and in both directions."""
+    links, held, stored = hubs_and_chain(), [], neardup.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        held.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    neardup.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sum(n for name, n in held if name in ("links", "edges")) < 1.1 * len(links)
+
+
+def near_group(n, seed):
+    """One large group of near copies, as many distant relatives, and some small groups."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    body = rng.choices(words, k=160)
+    rows = []
+    for i in range(2 * n):
+        copy = list(body)
+        for at in rng.sample(range(len(copy)), rng.choice([1, 2, 3]) if i % 2 else rng.randint(5, 10)):
+            copy[at] = rng.choice(words)
+        rows.append((i, " ".join(copy), "x", "y", "z"))
+    for i in range(20):
+        small = rng.choices(words, k=80)
+        rows += [(10_000 + 10 * i + k, " ".join(small[k:]), "x", "y", "z") for k in range(4)]
+    return rows
+
+
+def test_a_member_of_a_large_group_is_compared_with_few(spark, monkeypatch):
+    """Before, it was with every pivot of all its lists, and each turn joined all links found by then."""
+    rows = near_group(100, 3)
+    looked, given = [], []
+    agreeing, components = neardup._agreeing, neardup.components
+
+    def counted(pairs, classes):
+        looked.append(pairs.count())
+        return agreeing(pairs, classes)
+
+    def joined(links):
+        given.append(links.count())
+        return components(links)
+
+    monkeypatch.setattr(neardup, "_agreeing", counted)
+    monkeypatch.setattr(neardup, "components", joined)
+    found = {r.doc_id: r.component_id for r in neardup.group(spark, spark.createDataFrame(rows, DOCS)).collect()}
+    assert found == brute(rows)
+    assert max(looked[:-1]) <= 3 * len(rows)
+    # After the first turn a member brings one link, besides those that are new.
+    assert max(given[1:]) < 1.5 * len(rows)
